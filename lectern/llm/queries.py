@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lectern.llm import canonical
-from lectern.session import read_table
+from lectern.llm import canonical, duplicates, frequency
+from lectern.session import durable, read_table
 
 TYPED_FIELDS = ["exposure_domain", "study_design", "data_source_type"]
 
@@ -26,9 +26,87 @@ def p1_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return canonical.unmatched_report(_p1_mapped(spark, sf_dir))
 
 
+TERM_FIELDS = ["pathologies_diseases", "captured_features"]
+
+
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p3_terms(spark, sf_dir).filter("mark is not null").select("field", "term", "mark")
+
+
+def p3_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_table(spark, sf_dir, "checklists")
+    counts = frequency.term_counts(rows, TERM_FIELDS)
+    return frequency.marked(counts, rows).select("field", "term", "occurrences", F.col("n_records").alias("n_rows"), "mark")
+
+
+#: Columns of a checklists row that tell of its delivery, not of the record.
+DELIVERY = {"rec_id", "feed", "delivered_at"}
+
+
+def _p5_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_table(spark, sf_dir, "checklists")
+    return durable(duplicates.record_keys(rows, [c for c in rows.columns if c not in DELIVERY], "rec_id"))
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return duplicates.copies(_p5_keys(spark, sf_dir)).select(F.col("first_id").alias("first_rec_id"), F.col("copy_id").alias("copy_rec_id"))
+
+
+def p5_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return duplicates.groups(_p5_keys(spark, sf_dir)).select(F.col("first_id").alias("rec_id"), "n_copies")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p1_found": p1_found, "p1_unmatched": p1_unmatched}
+    return {
+        "p1_found": p1_found,
+        "p1_unmatched": p1_unmatched,
+        "p3_found": p3_found,
+        "p3_terms": p3_terms,
+        "p5_found": p5_found,
+        "p5_records": p5_records,
+    }
+
+
+BLANKS = r"[\s\x0B\x{0085}\x{00A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+"
+
+P3_TERMS = f"""
+with entries as (
+  select 'pathologies_diseases' as field, rec_id, unnest(pathologies_diseases) as entry from checklists
+  union all
+  select 'captured_features', rec_id, unnest(captured_features) from checklists
+), tidy as (
+  select field, rec_id, trim(regexp_replace(lower(entry), '{BLANKS}', ' ', 'g')) as term from entries
+), counted as (
+  select field, term, count(*) as occurrences, count(distinct rec_id) as n_rows from tidy where term <> '' group by all
+)
+select field, term, occurrences, n_rows,
+  case when n_rows < 3 then 'rare' when 20 * n_rows > (select count(*) from checklists) then 'common' end as mark
+from counted
+"""
+
+
+def _plain_sql(text: str) -> str:
+    return f"regexp_replace(lower(upper({text})), '[^\\p{{L}}\\p{{N}}]+', '', 'g')"
+
+
+def _p5_sql() -> str:
+    texts = "title year ehr_evidence summary study_design data_source_type population exposure_domain data_availability data_availability_statement confidence source_format model pmcid".split()
+    lists = "key_findings captured_features pathologies_diseases limitations data_accession_links".split()
+    columns = [f"{_plain_sql(c)} as {c}" for c in texts] + ["ehr_used"]
+    columns += [f"list_sort(list_filter(list_transform({c}, lambda x: {_plain_sql('x')}), lambda x: x <> '')) as {c}" for c in lists]
+    return f"""
+with plain as (select rec_id, {", ".join(columns)} from checklists),
+grouped as (
+  select min(rec_id) as first_rec_id, count(*) as n_copies, list(rec_id) as members
+  from plain group by {", ".join([*texts, "ehr_used", *lists])}
+)
+"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "p3_found": f"select field, term, mark from ({P3_TERMS}) where mark is not null",
+        "p3_terms": P3_TERMS,
+        "p5_found": _p5_sql() + "select first_rec_id, copy_rec_id from (select first_rec_id, unnest(members) as copy_rec_id from grouped) where copy_rec_id <> first_rec_id",
+        "p5_records": _p5_sql() + "select first_rec_id as rec_id, n_copies from grouped",
+    }
