@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lectern.plans import drift_queries
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return {**drift_queries.queries()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {**drift_queries.oracle_sql()}
