@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lectern.llm import canonical, duplicates, frequency
+from lectern.llm import canonical, duplicates, frequency, language, mixing, packing, tokens
 from lectern.session import durable, read_table
 
 TYPED_FIELDS = ["exposure_domain", "study_design", "data_source_type"]
@@ -56,6 +56,48 @@ def p5_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return duplicates.groups(_p5_keys(spark, sf_dir)).select(F.col("first_id").alias("rec_id"), "n_copies")
 
 
+def _p6_packed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dict[str, int]]:
+    sizes = packing.capacities(read_table(spark, sf_dir, "container_sizes"))
+    return packing.pack(read_table(spark, sf_dir, "documents"), sizes), sizes
+
+
+def p6_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _p6_packed(spark, sf_dir)[0]
+
+
+def p6_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.fill_report(*_p6_packed(spark, sf_dir))
+
+
+def _p7(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    sizes = mixing.kept_sizes(tokens.with_tokens(read_table(spark, sf_dir, "documents"), keep=["doc_id", "source"]))
+    queue = mixing.queued(sizes)
+    budget = mixing.budgets(queue, read_table(spark, sf_dir, "mix_targets"))
+    return mixing.mixed(queue, budget), budget
+
+
+def p7_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _p7(spark, sf_dir)[0].withColumnRenamed("id", "doc_id")
+
+
+def p7_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.shares(*_p7(spark, sf_dir))
+
+
+def _p8_labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read_table(spark, sf_dir, "documents").withColumnRenamed("lang", "label")
+    return language.identify(documents, language.fitted(documents, label="label"), keep=["label"])
+
+
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.mislabelled(_p8_labelled(spark, sf_dir), "label")
+
+
+def p8_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labelled = _p8_labelled(spark, sf_dir)
+    return labelled.select("doc_id", F.col("lang").alias("doc_lang"), F.col("confidence").alias("doc_confidence"), F.posexplode("segments").alias("segment", "s")).select("doc_id", "doc_lang", "doc_confidence", "segment", "s.*")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "p1_found": p1_found,
@@ -64,6 +106,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p3_terms": p3_terms,
         "p5_found": p5_found,
         "p5_records": p5_records,
+        "p6_packed": p6_packed,
+        "p6_fill": p6_fill,
+        "p7_mixed": p7_mixed,
+        "p7_shares": p7_shares,
+        "p8_found": p8_found,
+        "p8_segments": p8_segments,
     }
 
 
