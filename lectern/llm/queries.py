@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lectern.llm import canonical, duplicates, frequency, language, mixing, packing, tokens
+from lectern.llm import canonical, duplicates, frequency, language, mixing, packing, tokens, truncation
 from lectern.session import durable, read_table
 
 TYPED_FIELDS = ["exposure_domain", "study_design", "data_source_type"]
@@ -26,6 +26,23 @@ def p1_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return canonical.unmatched_report(_p1_mapped(spark, sf_dir))
 
 
+CUT_FIELDS = ["summary", "data_availability_statement", "ehr_evidence"]
+
+
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return truncation.truncated(read_table(spark, sf_dir, "checklists"), CUT_FIELDS).select(F.col("id").alias("rec_id"), "field")
+
+
+def p2_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_table(spark, sf_dir, "checklists")
+    return truncation.shares(rows, truncation.truncated(rows, CUT_FIELDS), CUT_FIELDS).withColumnRenamed("source", "feed")
+
+
+def p2_limits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_table(spark, sf_dir, "checklists")
+    return truncation.limits(truncation.long_texts(rows, CUT_FIELDS, "rec_id", "feed")).withColumnRenamed("source", "feed")
+
+
 TERM_FIELDS = ["pathologies_diseases", "captured_features"]
 
 
@@ -102,6 +119,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "p1_found": p1_found,
         "p1_unmatched": p1_unmatched,
+        "p2_found": p2_found,
+        "p2_shares": p2_shares,
+        "p2_limits": p2_limits,
         "p3_found": p3_found,
         "p3_terms": p3_terms,
         "p5_found": p5_found,
