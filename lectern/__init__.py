@@ -1 +1,8 @@
 """Lectern: literature-curation analytics expressed as Spark DataFrames."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# functions of this package travel to the Python workers by value, so executors need not have it installed
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -496,24 +496,28 @@ def parse_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
 # searches by rule
 
 
-def phrase_sql(terms: list[str]) -> str:
-    return "|".join(rules.phrase(t) for t in terms)
+def words_sql(c: str) -> str:
+    return f"' ' || trim(regexp_replace(lower({c}), '[^a-z0-9]+', ' ', 'g')) || ' '"
+
+
+def any_sql(words: str, terms: list[str]) -> str:
+    return "(" + " or ".join(f"contains({words}, '{rules.phrase(t)}')" for t in terms) + ")"
 
 
 def search_sql(s: rules.Search) -> str:
-    both = "lower(concat_ws(' ', coalesce(title, ''), summary))"
-    tests = [f"regexp_matches({both}, '{phrase_sql(g)}')" for g in [*s.groups, rules.PEDIATRIC]] + [f"regexp_matches(lower(coalesce(title, '')), '{phrase_sql(g)}')" for g in s.title_groups]
-    return " and ".join([*tests, f"not regexp_matches({both}, '{phrase_sql([*rules.NEGATIVE, *s.barred])}')"])
+    wanted = [any_sql("both_words", g) for g in [*s.groups, rules.PEDIATRIC]] + [any_sql("title_words", g) for g in s.title_groups]
+    return " and ".join([*wanted, f"not {any_sql('both_words', [*rules.NEGATIVE, *s.barred])}"])
 
 
 @query(
     "select rec_id, array_to_string(list_sort(list_distinct(list_filter(["
     + ", ".join(f"case when {search_sql(s)} then {s.tier} end" for s in rules.SEARCHES)
-    + "], lambda x: x is not null))), ',') as tiers from checklists"
+    + "], lambda x: x is not null))), ',') as tiers from (select rec_id, "
+    + words_sql("coalesce(title, '')") + " as title_words, " + words_sql("concat_ws(' ', coalesce(title, ''), summary)") + " as both_words from checklists)"
 )
 def boolean_query_tiers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = read_table(spark, sf_dir, "checklists")
-    return rows.select("rec_id", F.array_join(rules.tiers(F.col("title"), F.col("summary")).cast("array<string>"), ",").alias("tiers"))
+    rows = rules.with_tiers(read_table(spark, sf_dir, "checklists").select("rec_id", "title", "summary"), "title", "summary")
+    return rows.select("rec_id", F.array_join(F.col("tiers").cast("array<string>"), ",").alias("tiers"))
 
 
 def queries() -> dict:
