@@ -198,11 +198,11 @@ def identify(df: DataFrame, model: ppm.Model, *, id_col: str = "doc_id", text: s
     kept = [c for c in (keep or []) if c not in ("lang", "confidence", "segments", id_col)]
     # a capital dotted i would become two characters in lower case and shift offsets
     rows = df.select(F.col(f"`{id_col}`"), *[F.col(f"`{c}`") for c in kept], F.lower(F.translate(F.coalesce(F.col(f"`{text}`"), F.lit("")), "İ", "I")).alias("_text"))
-    shared = df.sparkSession.sparkContext.broadcast(model)
+    shared = df.sparkSession.sparkContext.broadcast(model.plain())
     names = [*rows.columns[:-1], "lang", "confidence", "segments"]
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
+        model = ppm.Model.of(shared.value)
         for batch in batches:
             column = batch.column(batch.num_columns - 1)
             if not batch.num_rows:

@@ -15,7 +15,7 @@ from collections.abc import Iterable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from lectern.llm.tokens import RANKS, count_tokens
+from lectern.llm.tokens import RANKS, count_tokens, encoding
 
 #: Open containers a task and capacity.
 OPEN_BINS = 512
@@ -113,6 +113,7 @@ def pack(df: DataFrame, capacities: dict[str, int], *, id_col: str = "doc_id", t
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packers = {name: Packer(capacity, open_bins) for name, capacity in capacities.items()}
         part, id_type = 0, None
+        encode = None if by_size else encoding(path).encode_ordinary
 
         def rows_of(closed: list[tuple[str, int, list[Item]]]) -> pa.RecordBatch:
             flat = [(name, (part << 33) + number, *item) for name, number, items in closed for item in items]
@@ -125,7 +126,7 @@ def pack(df: DataFrame, capacities: dict[str, int], *, id_col: str = "doc_id", t
                 continue
             part, id_type = batch.column(2)[0].as_py(), batch.schema.field(0).type
             values = batch.column(1).to_pylist()
-            sizes = [max(0, x or 0) for x in values] if by_size else count_tokens(values, path)
+            sizes = [max(0, x or 0) for x in values] if by_size else count_tokens(values, encode)
             keys = batch.column(0).to_pylist()
             closed = [(name, *done) for name, packer in packers.items() for key, n in zip(keys, sizes, strict=True) for done in packer.pack(key, n)]
             yield rows_of(closed)

@@ -79,6 +79,16 @@ class Model:
     grams: list[Level]
     escapes: list[Level]
 
+    def plain(self) -> tuple:
+        """Arrays and names only, for a broadcast."""
+        level = lambda x: (x.keys, x.words, x.bits)
+        return self.languages, [level(x) for x in self.grams], [level(x) for x in self.escapes]
+
+    @classmethod
+    def of(cls, plain: tuple) -> Model:
+        languages, grams, escapes = plain
+        return cls(languages, [Level(*x) for x in grams], [Level(*x) for x in escapes])
+
 
 def _codes(data: np.ndarray, size: int) -> np.ndarray:
     """Code of the size bytes that begin at each place, the first byte lowest."""

@@ -4,8 +4,7 @@ from __future__ import annotations
 
 import base64
 import os
-from collections.abc import Iterator
-from functools import lru_cache
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -16,7 +15,6 @@ RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
-@lru_cache(maxsize=4)
 def encoding(path: str = RANKS):
     """The tokenizer of a rank file; special tokens have no meaning in texts."""
     import tiktoken
@@ -26,9 +24,8 @@ def encoding(path: str = RANKS):
     return tiktoken.Encoding(os.path.basename(path), pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
-def count_tokens(texts: list[str | None], path: str = RANKS) -> list[int]:
+def count_tokens(texts: list[str | None], encode: Callable[[str], list[int]]) -> list[int]:
     """Tokens of each text; null counts 0."""
-    encode = encoding(path).encode_ordinary
     return [len(encode(x)) if x else 0 for x in texts]
 
 
@@ -38,8 +35,9 @@ def with_tokens(df: DataFrame, *, text: str = "text", keep: list[str], name: str
     rows = df.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text}`").alias("_text"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode = encoding(path).encode_ordinary
         for batch in batches:
-            sizes = pa.array(count_tokens(batch.column(batch.num_columns - 1).to_pylist(), path), pa.int64())
+            sizes = pa.array(count_tokens(batch.column(batch.num_columns - 1).to_pylist(), encode), pa.int64())
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], sizes], names=[*kept, name])
 
     types = dict(df.dtypes)

@@ -19,6 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lectern.operators.skew import lookup
+from lectern.session import durable
 
 #: Ends of a sentence, and what a cut itself leaves behind: ellipsis, replacement character, half an entity, a note.
 FINAL = r"[.!?][\"”')\]»]*$"
@@ -40,13 +41,11 @@ _START = np.uint64(0xA0761D6478BD642F)
 
 def measures(text: Column) -> Column:
     """map<measure, length> of a text under the encodings that storage may count by."""
-    chars = F.length(text)
-    astral = F.length(F.regexp_replace(text, r"[^\x{10000}-\x{10FFFF}]", ""))
-    amp, angle = F.length(F.regexp_replace(text, "[^&]", "")), F.length(F.regexp_replace(text, "[^<>]", ""))
-    quote = F.length(F.regexp_replace(text, '[^"]', ""))
-    escaped = F.length(F.regexp_replace(text, r'[^"\\\n\r\t]', ""))
-    lines = F.length(F.regexp_replace(text, "[^\n]", ""))
-    values = {"chars": chars, "utf8": F.octet_length(text), "utf16": chars + astral, "entities": chars + 4 * amp + 3 * angle + 5 * quote, "json": chars + escaped, "crlf": chars + lines}
+    chars, octets = F.length(text), F.octet_length(text)
+    held = lambda signs: chars - F.length(F.translate(text, signs, ""))
+    # only a text with bytes to spare can hold characters of two UTF-16 units
+    astral = F.when(octets > chars + 2, chars - F.length(F.regexp_replace(text, r"[\x{10000}-\x{10FFFF}]", ""))).otherwise(0)
+    values = {"chars": chars, "utf8": octets, "utf16": chars + astral, "entities": chars + 4 * held("&") + 3 * held("<>") + 5 * held('"'), "json": chars + held('"\\\n\r\t'), "crlf": chars + held("\n")}
     return F.create_map(*[x for name, value in values.items() for x in (F.lit(name), value)])
 
 
@@ -164,19 +163,18 @@ def context_counts(texts: DataFrame, fields: list[str]) -> DataFrame:
 
 
 def ending_contexts(texts: DataFrame, fields: list[str]) -> DataFrame:
-    """texts plus one column of context hash a kind for the last word."""
-    kinds = dict(texts.dtypes)
+    """texts without their last column, text, plus one column of context hash a kind for the last word."""
+    kinds = dict(texts.dtypes[:-1])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words()
         for batch in batches:
-            text = batch.column(batch.schema.get_field_index("text"))
-            found, owner, _ = contexts(text, batch.column(batch.num_columns - 1).to_numpy(zero_copy_only=False), words)
+            found, owner, _ = contexts(batch.column(batch.num_columns - 2), batch.column(batch.num_columns - 1).to_numpy(zero_copy_only=False), words)
             tail = np.flatnonzero(np.r_[owner[1:] != owner[:-1], True]) if len(owner) else np.zeros(0, int)
             place = np.full(batch.num_rows, -1)
             place[owner[tail]] = tail
             columns = [pa.array(h[np.maximum(place, 0)] if len(h) else np.zeros(batch.num_rows, np.int64), mask=place < 0) for h in found.values()]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *columns], names=[*batch.schema.names[:-1], *found])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-2], *columns], names=[*batch.schema.names[:-2], *found])
 
     number = F.array_position(F.array(*map(F.lit, fields)), F.col("field")).cast("int")
     schema = ", ".join([f"`{c}` {t}" for c, t in kinds.items()] + [f"`{k}` long" for k in KINDS])
@@ -212,21 +210,21 @@ def truncated(df: DataFrame, fields: list[str], *, id_col: str = "rec_id", sourc
     are read whole; rows that repeat are reported as often as they come; an empty table gives no rows.
     """
     texts = long_texts(df, fields, id_col, source)
-    piles = limits(texts).groupBy("field", "source").agg(F.map_from_entries(F.collect_list(F.struct("measure", "limit"))).alias("limits"))
-    if piles.limit(MAX_SOURCES + 1).count() > MAX_SOURCES:
+    piles = durable(limits(texts).groupBy("field", "source").agg(F.map_from_entries(F.collect_list(F.struct("measure", "limit"))).alias("limits")))
+    if piles.count() > MAX_SOURCES:
         raise ValueError(f"more than {MAX_SOURCES} sources with a limit")
+    total = durable(texts.groupBy("field").agg(F.count(F.lit(1)).alias("n")))
     shown = F.regexp_replace(F.col("text"), r"(?U)\s+$", "")
-    open_ = texts.withColumn("marked", shown.rlike(MARK)).withColumn("final", shown.rlike(FINAL) & ~F.col("marked")).withColumn("numeric", shown.rlike(r"[0-9][.!?]?$"))
-    open_ = open_.filter("marked or not final or numeric")
-    placed = open_.join(F.broadcast(piles), ["field", "source"], "left")
-    at_limit = F.exists(F.map_entries("limits"), lambda e: F.element_at(measures(F.col("text")), e["key"]) == e["value"])
-    judged = placed.withColumn("cause", F.when(F.col("marked"), "mark").when(~F.col("final") & F.coalesce(at_limit, F.lit(False)), "limit")).drop("limits", "marked")
-    sure = judged.filter("cause is not null").select("id", "source", "field", "cause")
+    open_ = texts.withColumn("_s", F.right(shown, F.lit(40))).select("*", F.col("_s").rlike(MARK).alias("marked"), F.col("_s").rlike(FINAL).alias("_f"), F.col("_s").rlike(r"[0-9][.!?]?$").alias("numeric")).withColumn("final", F.col("_f") & ~F.col("marked")).drop("_s", "_f")
+    placed = open_.filter("marked or not final or numeric").join(F.broadcast(piles), ["field", "source"], "left").withColumn("_m", measures(F.col("text")))
+    at_limit = F.exists(F.map_entries("limits"), lambda e: F.element_at(F.col("_m"), e["key"]) == e["value"])
+    judged = placed.withColumn("cause", F.when(F.col("marked"), "mark").when(~F.col("final") & F.coalesce(at_limit, F.lit(False)), "limit"))
+    # from here on a text is a hash and the contexts of its last word
+    kept = durable(ending_contexts(judged.select("id", "source", "field", "cause", "final", "numeric", F.xxhash64("text").alias("key"), "text"), fields))
+    sure = kept.filter("cause is not null").select("id", "source", "field", "cause")
     # short texts that many rows share are phrases; at most 1 / phrase_share a field, so they go to every task
-    total = texts.groupBy("field").agg(F.count(F.lit(1)).alias("n"))
-    phrases = judged.filter("cause is null and not final").groupBy("field", "text").agg(F.count(F.lit(1)).alias("k")).join(F.broadcast(total), "field").filter((F.col("k") >= least_phrase) & (F.col("k") >= phrase_share * F.col("n"))).select("field", "text").orderBy("field", "text").limit(int(len(fields) / phrase_share) + 1)
-    rest = judged.filter("cause is null").drop("cause").join(F.broadcast(phrases), ["field", "text"], "left_anti")
-    tails = ending_contexts(rest.withColumn("key", F.xxhash64("text")), fields).drop("text")
+    phrases = kept.filter("cause is null and not final").groupBy("field", "key").agg(F.count(F.lit(1)).alias("k")).join(F.broadcast(total), "field").filter((F.col("k") >= least_phrase) & (F.col("k") >= phrase_share * F.col("n"))).select("field", "key").orderBy("field", "key").limit(int(len(fields) / phrase_share) + 1)
+    tails = kept.filter("cause is null").drop("cause").join(F.broadcast(phrases), ["field", "key"], "left_anti")
     each = tails.select("id", "source", "field", "key", "final", "numeric", F.explode(F.map_from_arrays(F.array(*map(F.lit, KINDS)), F.array(*KINDS))).alias("kind", "context"))
     wanted = each.groupBy("context").agg(F.count(F.lit(1)).alias("uses"))
     stats = context_counts(texts, fields).join(wanted, "context")
