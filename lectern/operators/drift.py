@@ -86,7 +86,8 @@ def numbered_files(raw: DataFrame, *, stream: str = "stream", file: str = "file_
     ahead = Window.partitionBy("stream").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     sizes = ranged.groupBy("stream", "_part").agg(F.count(F.lit(1)).alias("n")).withColumn("before", F.coalesce(F.sum("n").over(ahead), F.lit(0))).drop("n")
     inside = F.row_number().over(Window.partitionBy("stream", "_part").orderBy("at", "file"))
-    return ranged.withColumn("_i", inside).join(sizes, ["stream", "_part"]).select("stream", "file", "at", (F.col("_i") + F.col("before")).alias("seq"))
+    sizes = sizes.withColumnsRenamed({"stream": "_s", "_part": "_p"})
+    return ranged.withColumn("_i", inside).join(sizes, F.col("stream").eqNullSafe(F.col("_s")) & (F.col("_part") == F.col("_p"))).select("stream", "file", "at", (F.col("_i") + F.col("before")).alias("seq"))
 
 
 def changes(raw: DataFrame, columns: list[str], *, aliases: dict[str, list[str]] | None = None, stream: str = "stream", file: str = "file_name", at: str = "exported_at", payload: str = "payload") -> DataFrame:
@@ -158,7 +159,7 @@ def unified(raw: DataFrame, schema: list[tuple[str, str]], *, aliases: dict[str,
             cast = F.when(F.lower(text).isin("true", "yes", "y", "1"), True).when(F.lower(text).isin("false", "no", "n", "0"), False)
         elif kind == "array<string>":
             ids = F.transform(F.try_variant_get(value, "$", "array<variant>"), lambda x: F.try_variant_get(x, "$.id", "string"))
-            parts = F.filter(F.transform(F.split(text, ";"), F.trim), lambda x: x != "")
+            parts = F.filter(F.transform(F.split(text, ";"), lambda x: F.trim(x)), lambda x: x != "")
             cast = F.when(shape == "array<object>", ids).when(shape == "string", parts).otherwise(F.try_variant_get(value, "$", "array<string>"))
         else:
             one = F.coalesce(F.try_variant_get(value, "$.category", "string"), F.concat_ws("-", F.try_variant_get(value, "$.name", "string"), F.try_variant_get(value, "$.build", "string")))
