@@ -154,7 +154,7 @@ from counted
 
 
 def _plain_sql(text: str) -> str:
-    return f"regexp_replace(lower(upper({text})), '[^\\p{{L}}\\p{{N}}]+', '', 'g')"
+    return f"lower(regexp_replace(upper({text}), '[^\\p{{L}}\\p{{N}}]+', '', 'g'))"
 
 
 def _p5_sql() -> str:

@@ -83,7 +83,8 @@ class Words:
             base = re.sub(FINAL, "", word) if ends else word
             lower = re.sub(r"\d", "0", base.lower())
             if not any(c.isalpha() for c in base):
-                wide = re.sub("0+", "0", lower)
+                # a number is a number, decimals or not
+                wide = "0" if "0" in lower else lower
             elif "0" in lower or "://" in lower:
                 wide = "Id"
             else:
@@ -236,7 +237,7 @@ def truncated(df: DataFrame, fields: list[str], *, id_col: str = "rec_id", sourc
     stat = {k: {name: F.col(f"{k}.{name}") for name in own} for k in KINDS}
     wide = wide.join(F.broadcast(total), "field")
     often = F.greatest(F.lit(least_phrase), phrase_share / 2 * F.col("n"))
-    number_goes_on = (stat["two"]["goes_on"] > 9 * stat["two"]["ends"]) & (stat["two"]["goes_on"] >= 3)
+    number_goes_on = (stat["three"]["goes_on"] > 9 * stat["three"]["ends"]) & (stat["three"]["goes_on"] >= 3)
     lost = wide.filter(F.when(F.col("final"), F.coalesce(number_goes_on, F.lit(False))).otherwise(~_whole(stat, often)))
     by_ending = lost.select("id", "source", "field", F.lit("ending").alias("cause"), F.explode(F.sequence(F.lit(1).cast("long"), F.col("times"))).alias("_n")).drop("_n")
     return sure.unionByName(by_ending)
