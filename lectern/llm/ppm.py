@@ -100,6 +100,8 @@ def _codes(data: np.ndarray, size: int) -> np.ndarray:
 def fit(texts: dict[str, list[bytes]], order: int = ORDER) -> Model:
     """Statistics of the texts of each language; every text is read on its own, after blanks."""
     languages = sorted(texts)
+    if not languages:
+        return Model([], [], [])
     streams = [np.frombuffer((b" " * order).join([b"", *texts[x], b""]), np.uint8) for x in languages]
     grams: list[Level] = []
     escapes: list[Level] = []
