@@ -25,11 +25,28 @@ ALIASES: dict[str, list[str]] = {
 }
 
 
+#: Words that producers hang on a column's name.
+SUFFIXES = ["", "name", "level", "value", "category", "list", "text"]
+
+
 def bare(key: str) -> str:
     """A key without case and separators."""
     return re.sub(r"[^0-9a-z]", "", key.lower())
 
 
+def known_keys(columns: list[str], aliases: dict[str, list[str]] | None = None) -> dict[str, str]:
+    """Bare key -> column: the columns, their aliases, and either with one of SUFFIXES; a column's own name comes first."""
+    table = ALIASES if aliases is None else aliases
+    known = {bare(c): c for c in columns}
+    for column in columns:
+        for other in table.get(column, []):
+            known.setdefault(bare(other), column)
+    for key, column in list(known.items()):
+        for suffix in SUFFIXES:
+            known.setdefault(key + suffix, column)
+    return known
+
+
 def _spelled(key: Column) -> Column:
     return F.regexp_replace(F.lower(key), "[^0-9a-z]", "")
 
@@ -40,10 +57,7 @@ def _one_of(keys: list[str]):
 
 def column_of(key: Column, columns: list[str], aliases: dict[str, list[str]] | None = None) -> Column:
     """The column that a key holds values of, or the key itself."""
-    known = {bare(c): c for c in columns}
-    for column, others in (ALIASES if aliases is None else aliases).items():
-        if column in columns:
-            known |= {bare(o): column for o in others if bare(o) not in known}
+    known = known_keys(columns, aliases)
     pairs = [F.lit(x) for pair in known.items() for x in pair]
     found = F.element_at(F.create_map(*pairs), _spelled(key)) if pairs else F.lit(None)
     return F.coalesce(found, key)
@@ -146,9 +160,7 @@ def unified(raw: DataFrame, schema: list[tuple[str, str]], *, aliases: dict[str,
     fields = readable(F.col(f"`{payload}`"))
     kept = [F.col(f"`{c}`").alias(f"{c}_raw" if c in {*columns, "readable", "extra"} else c) for c in keep]
     base = raw.select(*kept, fields.alias("_m"))
-    known = {bare(c): c for c in columns}
-    for column, others in (ALIASES if aliases is None else aliases).items():
-        known |= {bare(o): column for o in others if column in columns and bare(o) not in known}
+    known = known_keys(columns, aliases)
     out = [F.col("_m").isNotNull().alias("readable")]
     for column, kind in schema:
         keys = [k for k, c in known.items() if c == column]

@@ -19,8 +19,8 @@ def counts(df: DataFrame, key: Column, name: str) -> DataFrame:
 
 
 def shares(df: DataFrame, key: Column, name: str) -> DataFrame:
-    """Counts with their percent of all, largest first, then by lower-cased key. The window is over the groups, not the rows."""
-    total = F.sum("n").over(Window.partitionBy())
+    """Counts with their percent of all, largest first, then by lower-cased key."""
+    total = df.agg(F.count(F.lit(1))).scalar()
     return counts(df, key, name).withColumn("percent", tx.percent(F.col("n"), total)).orderBy(F.desc("n"), F.lower(name), name)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lectern.functions import coerce, rules, text as tx
-from lectern.operators import merge, report, search, store
+from lectern.operators import merge, publish, report, search, store
 from lectern.plans.registry import Registry
 from lectern.schema import AVAILABILITY, CHECKLIST_COLUMNS, CONFIDENCE, LIST_COLUMNS
 from lectern.session import read_table
@@ -458,6 +458,29 @@ def file_stems(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _log(spark, sf_dir).select("pmcid", tx.file_stem(F.col("title")).alias("stem")).distinct()
 
 
+@query(f"with {LATEST} select pmcid, title, year, ehr_used, summary, array_to_string(pathologies_diseases, '; ') as diseases, exposure_domain, data_availability, confidence from latest")
+def site_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = publish.site_records(latest(spark, sf_dir))
+    return made.select("pmcid", "title", "year", "ehr_used", "summary", F.array_join("pathologies_diseases", "; ").alias("diseases"), "exposure_domain", "data_availability", "confidence")
+
+
+@query(
+    f"""with {TIDY_LOG}, {LATEST}, one as (select pmcid, max({{'y': year, 't': title, 'j': coalesce(journal, '')}}) as r from log group by 1), b as (select pmcid, r.y as year, r.t as title, r.j as journal from one)
+select row_number() over (order by b.year, b.pmcid) as no, b.pmcid, b.year, replace(b.journal, '|', chr(92) || '|') as journal, replace(b.title, '|', chr(92) || '|') as title,
+  {bucket_sql(rules.EXPOSURE_BUCKETS).replace("title", "b.title")} as exposure, {bucket_sql(rules.OUTCOME_BUCKETS).replace("title", "b.title")} as outcome,
+  case when b.pmcid in (select pmcid from latest where source_format = 'xml') then 'XML' else 'PDF' end as format from b"""
+)
+def paper_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    one = _log(spark, sf_dir).withColumn("journal", F.coalesce("journal", F.lit(""))).groupBy("pmcid").agg(F.max(F.struct("year", "title", "journal")).alias("r")).select("pmcid", "r.*")
+    return publish.inventory(one, latest(spark, sf_dir).filter("source_format = 'xml'"))
+
+
+@query(f"select distinct {id_sql()} as pmcid, {strip_sql('title')} as title from log_papers union select {id_sql()}, {strip_sql('title')} from log_excluded")
+def merged_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    one = lambda name: read_table(spark, sf_dir, name).select(coerce.pmcid(F.col("pmcid")).alias("pmcid"), coerce.strip(F.col("title")).alias("title"))
+    return publish.merged_list(one("log_papers"), one("log_excluded"), one("log_papers"))
+
+
 # processing results
 
 DEDUPED = f"r as (select result_id, min({id_sql()}) as pmcid, min(coalesce(nullif({STATUS}, ''), 'unknown')) as status, max(attempt) as attempt, min(recorded_at) as recorded_at, min(chunk_no) as chunk_no from paper_results group by result_id)"

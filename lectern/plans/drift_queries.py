@@ -30,7 +30,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def _field_sql() -> str:
-    whens = [f"when {key!r} then {column!r}" for column in CHECKLIST_COLUMNS for key in dict.fromkeys(map(drift.bare, [column, *drift.ALIASES.get(column, [])]))]
+    whens = [f"when {key!r} then {column!r}" for key, column in drift.known_keys(CHECKLIST_COLUMNS).items()]
     return f"case regexp_replace(lower(key), '[^0-9a-z]', '', 'g') {' '.join(whens)} else key end"
 
 

@@ -29,7 +29,8 @@ def file_format(path: Column) -> Column:
 def read_records(spark: SparkSession, folder: str) -> DataFrame:
     """Checklist records of a folder of one-object JSON files, other suffixes ignored, plus path and _corrupt_record for unreadable ones."""
     schema = checklist_schema().add("_corrupt_record", "string")
-    return spark.read.schema(schema).option("multiLine", True).option("mode", "PERMISSIVE").option("pathGlobFilter", "*.json").json(folder).withColumn("path", F.col("_metadata.file_path"))
+    texts = spark.read.option("pathGlobFilter", "*.json").text(folder, wholetext=True)
+    return texts.select(F.from_json("value", schema, {"mode": "PERMISSIVE"}).alias("r"), F.col("_metadata.file_path").alias("path")).select("r.*", "path")
 
 
 def parse_failures(records: DataFrame) -> DataFrame:

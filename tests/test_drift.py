@@ -55,6 +55,13 @@ def test_spellings_of_a_column_are_one_field(spark):
     assert changes(spark, ("s", "a", 1, [{"ehrUsed": True}]), ("s", "b", 2, [{"EHR-used": True}]), ("s", "c", 3, [{"uses_ehr": 1}])) == [("b", "ehr_used", "renamed"), ("c", "ehr_used", "renamed"), ("c", "ehr_used", "retyped")]
 
 
+def test_keys_of_the_test_tables():
+    known = drift.known_keys(CHECKLIST_COLUMNS)
+    wanted = {"confidence_level": "confidence", "modelName": "model", "llm": "model", "Data_Availability": "data_availability", "da_category": "data_availability", "accession_links": "data_accession_links", "diseases": "pathologies_diseases", "title": "title"}
+    assert {k: known[drift.bare(k)] for k in wanted} == wanted
+    assert not {"licence", "secondreader", "reviewstate", "prompttokens", "batchcost"} & set(known)
+
+
 def test_many_files_are_numbered_in_order(spark):
     import random
 

@@ -22,7 +22,7 @@ def test_record_files(spark, tmp_path):
     (tmp_path / "PMC1.json").write_text(json.dumps(record("PMC1"), indent=2))
     (tmp_path / "PMC_BAD.json").write_text("{broken")
     (tmp_path / "README.txt").write_text("ignored")
-    rows = files.read_records(spark, str(tmp_path)).cache()
+    rows = files.read_records(spark, str(tmp_path))
     assert rows.filter("_corrupt_record is null").first().pmcid == "PMC1"
     assert files.parse_failures(rows).first()[:] == (1, 1)
 
