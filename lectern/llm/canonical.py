@@ -68,7 +68,7 @@ SYNONYMS: dict[str, dict[str, list[str]]] = {
         "qualitative interviews": ["in-depth interviews"],
     },
     "data_source_type": {
-        "electronic health records": ["electronic medical records", "e-health records", "hospital EHR extract"],
+        "electronic health records": ["electronic medical records", "e-health records", "e-medical records", "hospital EHR extract"],
         "insurance claims": ["claims database"],
         "birth cohort data": ["birth cohort"],
         "clinical trial data": ["data of a trial", "clinical trial"],
@@ -238,7 +238,9 @@ class FieldIndex:
             share = named / max(1, named + sum(map(len, self.content(tokens, used))))
             if share >= self.least_value:
                 best = max(best, (have / total * share, have, name))
-        return (self.names[best[2]], best[0]) if best[2] else self.by_spelling(tokens, likes)
+        if best[0] > 0.8:
+            return self.names[best[2]], best[0]
+        return max((self.names[best[2]], best[0]) if best[2] else (0, 0.0), self.by_spelling(tokens, likes), key=lambda x: x[1])
 
     def by_spelling(self, tokens: list[str], likes: list[dict[str, float]]) -> tuple[int, float]:
         """The whole value against names that share a token with it: at most one edit in five characters."""

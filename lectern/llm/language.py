@@ -159,28 +159,34 @@ def sample(df: DataFrame, text: str, label: str, per_language: int = PER_LANGUAG
     return texts
 
 
-def cleaned(texts: dict[str, list[bytes]], least_texts: int = 5, least_share: float = 0.5) -> dict[str, list[bytes]]:
+def cleaned(texts: dict[str, list[bytes]], least_texts: int = 5, least_share: float = 0.5, rounds: int = 3) -> dict[str, list[bytes]]:
     """Sentences of the texts that a model of the other half gives the language of their label, as does the text around.
 
-    A language with fewer than least_texts texts, or that keeps less than least_share of its bytes, is left out.
+    Repeated rounds learn from what the one before kept. A language with fewer than least_texts texts, or that keeps
+    less than least_share of its bytes, is left out.
     """
     texts = {x: sorted(own) for x, own in texts.items() if len(own) >= least_texts}
-    kept: dict[str, list[bytes]] = {x: [] for x in texts}
     halves = [{x: own[i::2] for x, own in texts.items()} for i in (0, 1)]
-    for learnt, judged in (halves, halves[::-1]):
-        model = ppm.fit(learnt) if learnt else None
-        for x, own in judged.items():
-            data = np.frombuffer(b"".join(own), np.uint8)
-            found = Sentences(data, np.r_[0, np.cumsum([len(o) for o in own])])
-            if not len(found.doc):
-                continue
-            starts = found.start.copy()
-            starts[0] = 0
-            bits = ppm.stretch_bits(model, found.packed, starts)
-            _, lang = decide(bits, found.doc, found.end - found.begin, len(own))
-            good = (lang == model.languages.index(x)) & (bits.argmin(1) == lang)
-            kept[x] += [data[b:e].tobytes() for b, e in zip(found.begin[good], found.end[good], strict=True)]
-    return {x: own for x, own in kept.items() if sum(map(len, own)) >= least_share * sum(map(len, texts[x]))}
+    learnt = halves
+    for _ in range(rounds if texts else 0):
+        kept: list[dict[str, list[bytes]]] = [{}, {}]
+        for side in (0, 1):
+            model = ppm.fit(learnt[1 - side])
+            for x, own in halves[side].items():
+                data = np.frombuffer(b"".join(own), np.uint8)
+                found = Sentences(data, np.r_[0, np.cumsum([len(o) for o in own])])
+                kept[side][x] = []
+                if not len(found.doc):
+                    continue
+                starts = found.start.copy()
+                starts[0] = 0
+                bits = ppm.stretch_bits(model, found.packed, starts)
+                _, lang = decide(bits, found.doc, found.end - found.begin, len(own))
+                good = (lang == model.languages.index(x)) & (bits.argmin(1) == lang)
+                kept[side][x] = [data[b:e].tobytes() for b, e in zip(found.begin[good], found.end[good], strict=True)]
+        learnt = kept
+    joined = {x: learnt[0][x] + learnt[1][x] for x in texts}
+    return {x: own for x, own in joined.items() if sum(map(len, own)) >= least_share * sum(map(len, texts[x]))}
 
 
 def fitted(df: DataFrame, text: str = "text", label: str = "lang", per_language: int = PER_LANGUAGE) -> ppm.Model:
