@@ -44,10 +44,14 @@ def validated(df: DataFrame) -> DataFrame:
 
 
 def last_of_key(df: DataFrame, key: str, order: str) -> DataFrame:
-    """The last row of each key by order; rows without key are dropped. Counted on the map side first, so a hot key costs a row a task."""
-    rest = [c for c in df.columns if c != key]
-    newest = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.max_by(F.struct(*rest), order).alias("_r"))
-    return newest.select(key, *[F.col(f"_r.{c}").alias(c) for c in rest]).select(*df.columns)
+    """The last row of each key by order, which must differ between different rows of a key; rows without key are dropped.
+
+    One aggregate a column, so that columns nobody reads later are not read from the files either. Combined on the map
+    side, so a hot key costs a row a task.
+    """
+    rest = [c for c in df.columns if c not in (key, order)]
+    newest = df.filter(F.col(key).isNotNull()).groupBy(key).agg(*[F.max_by(c, order).alias(c) for c in rest], F.max(order).alias(order))
+    return newest.select(*df.columns)
 
 
 def upsert_plan(base: DataFrame, batch: DataFrame, key: str) -> DataFrame:
