@@ -188,9 +188,10 @@ def _whole(stat: dict[str, dict[str, Column]], often: Column) -> Column:
     share = {k: s["ends"] / F.greatest(n[k], F.lit(1)) for k, s in stat.items()}
     habit = (stat["three"]["stops"] >= often) & (stat["three"]["ends"] + stat["three"]["stops"] >= stat["three"]["goes_on"])
     return (
-        F.when((n["last"] < 1) & (stat["last"]["stops"] < 2), False)
+        F.when((n["last"] < 1) & (stat["last"]["stops"] < F.greatest(F.lit(2), often / 4)), False)
         .when(habit, True)
         .when(F.col("numeric") & (n["two"] < 1), False)
+        .when((n["two"] < 1) & (n["three"] < 1), False)
         .when((n["two"] >= 3) & (share["two"] == 0), False)
         .when((n["three"] >= 3) & (share["three"] == 0), False)
         .when(n["frame"] >= 4, share["frame"] >= 0.5)
@@ -228,7 +229,8 @@ def truncated(df: DataFrame, fields: list[str], *, id_col: str = "rec_id", sourc
     tails = kept.filter("cause is null").drop("cause").join(F.broadcast(phrases), ["field", "key"], "left_anti")
     each = tails.select("id", "source", "field", "key", "final", "numeric", F.explode(F.map_from_arrays(F.array(*map(F.lit, KINDS)), F.array(*KINDS))).alias("kind", "context"))
     wanted = each.groupBy("context").agg(F.count(F.lit(1)).alias("uses"))
-    stats = context_counts(texts, fields).join(wanted, "context")
+    # what stands before the mark of a cut is no word
+    stats = context_counts(texts.filter(~shown.rlike(MARK)), fields).join(wanted, "context")
     met = lookup(each, stats, ["context"], ["ends", "stops", "goes_on"], "uses")
     # an ending has counted itself once
     own = {"ends": F.col("final").cast("int"), "stops": (~F.col("final")).cast("int"), "goes_on": F.lit(0)}
