@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from lectern.functions import coerce
 from lectern.llm import canonical, duplicates, frequency, language, mixing, packing, tokens, truncation
 from lectern.session import durable, read_table
 
@@ -29,13 +30,17 @@ def p1_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
 CUT_FIELDS = ["summary", "data_availability_statement", "ehr_evidence"]
 
 
+def _p2_truncated(rows: DataFrame) -> DataFrame:
+    return truncation.truncated(rows, CUT_FIELDS, record=coerce.pmcid(F.col("pmcid")))
+
+
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return truncation.truncated(read_table(spark, sf_dir, "checklists"), CUT_FIELDS).select(F.col("id").alias("rec_id"), "field")
+    return _p2_truncated(read_table(spark, sf_dir, "checklists")).select(F.col("id").alias("rec_id"), "field")
 
 
 def p2_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read_table(spark, sf_dir, "checklists")
-    return truncation.shares(rows, truncation.truncated(rows, CUT_FIELDS), CUT_FIELDS).withColumnRenamed("source", "feed")
+    return truncation.shares(rows, _p2_truncated(rows), CUT_FIELDS).withColumnRenamed("source", "feed")
 
 
 def p2_limits(spark: SparkSession, sf_dir: str) -> DataFrame:

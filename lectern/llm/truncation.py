@@ -49,10 +49,14 @@ def measures(text: Column) -> Column:
     return F.create_map(*[x for name, value in values.items() for x in (F.lit(name), value)])
 
 
-def long_texts(df: DataFrame, fields: list[str], id_col: str, source: str) -> DataFrame:
-    """(id, source, field, text) of every text that is not null or blank; a null source is the source ''."""
+def long_texts(df: DataFrame, fields: list[str], id_col: str, source: str, record: Column | None = None) -> DataFrame:
+    """(id, source, record, field, text) of every text that is not null or blank; a null source is the source ''.
+
+    record is a hash of what the copies of one record share; where that is null, or not given, of the id.
+    """
+    same = F.xxhash64(F.col(f"`{id_col}`").cast("string")) if record is None else F.xxhash64(F.coalesce(record.cast("string"), F.col(f"`{id_col}`").cast("string")))
     pairs = F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f"`{f}`").alias("text")) for f in fields]))
-    return df.select(F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{source}`").cast("string"), F.lit("")).alias("source"), pairs.alias("_p")).select("id", "source", "_p.*").filter(F.col("text").rlike(r"(?U)\S"))
+    return df.select(F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{source}`").cast("string"), F.lit("")).alias("source"), same.alias("record"), pairs.alias("_p")).select("id", "source", "record", "_p.*").filter(F.col("text").rlike(r"(?U)\S"))
 
 
 def limits(texts: DataFrame, *, least: int = 5, least_share: float = 0.005, times: float = 3.0) -> DataFrame:
@@ -101,8 +105,7 @@ class Words:
 def contexts(texts: pa.Array, fields: np.ndarray, words: Words) -> tuple[dict[str, np.ndarray], np.ndarray, dict[str, np.ndarray]]:
     """Context hashes by kind of every word of the texts, the text of each word, and what happens at it.
 
-    What happens: a sentence ends (by its mark), stops (with the text, without a mark) or goes on; turns tells where
-    it goes on into another part of its frame. fields: a number a text.
+    What happens: a sentence ends (by its mark) or goes on; turns tells where it goes on into another part of its frame. fields: a number a text.
     """
     split = pc.utf8_split_whitespace(texts)
     sizes = pc.list_value_length(split).to_numpy(zero_copy_only=False)
@@ -142,25 +145,25 @@ def contexts(texts: pa.Array, fields: np.ndarray, words: Words) -> tuple[dict[st
             total = summed - before
         total = (total + salt + np.uint64(number + 1)) * np.uint64(_M)
         out[kind] = (total ^ (total >> np.uint64(29))).view(np.int64)
-    return out, owner, {"ends": last & ends, "stops": last & ~ends, "goes_on": ~last, "turns": turns}
+    return out, owner, {"ends": last & ends, "goes_on": ~last, "turns": turns}
 
 
 def context_counts(texts: DataFrame, fields: list[str]) -> DataFrame:
-    """(context, ends, stops, goes_on) of every context of the texts; counted a batch before they move."""
+    """(context, ends, goes_on) of every context of the texts; counted a batch before they move."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words()
         for batch in batches:
             found, _, how = contexts(batch.column(1), batch.column(0).to_numpy(zero_copy_only=False), words)
             # in a frame, a sentence goes on only where the next word belongs to another part
-            told = {kind: how["ends"] | how["stops"] | how["turns" if kind == "frame" else "goes_on"] for kind in found}
+            told = {kind: how["ends"] | how["turns" if kind == "frame" else "goes_on"] for kind in found}
             keys, inverse = np.unique(np.concatenate([h[told[kind]] for kind, h in found.items()]), return_inverse=True)
-            ended, stopped = (np.bincount(inverse, np.concatenate([how[x][told[kind]] for kind in found]), len(keys)).astype(np.int64) for x in ("ends", "stops"))
+            ended = np.bincount(inverse, np.concatenate([how["ends"][told[kind]] for kind in found]), len(keys)).astype(np.int64)
             total = np.bincount(inverse, minlength=len(keys))
-            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(ended), pa.array(stopped), pa.array(total - ended - stopped)], names=["context", "ends", "stops", "goes_on"])
+            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(ended), pa.array(total - ended)], names=["context", "ends", "goes_on"])
 
     number = F.array_position(F.array(*map(F.lit, fields)), F.col("field")).cast("int")
-    return texts.select(number.alias("f"), "text").mapInArrow(count, "context long, ends long, stops long, goes_on long").groupBy("context").agg(*[F.sum(c).alias(c) for c in ("ends", "stops", "goes_on")])
+    return texts.select(number.alias("f"), "text").mapInArrow(count, "context long, ends long, goes_on long").groupBy("context").agg(*[F.sum(c).alias(c) for c in ("ends", "goes_on")])
 
 
 def ending_contexts(texts: DataFrame, fields: list[str]) -> DataFrame:
@@ -182,11 +185,20 @@ def ending_contexts(texts: DataFrame, fields: list[str]) -> DataFrame:
     return texts.select("*", number.alias("_f")).mapInArrow(add, schema)
 
 
-def _whole(stat: dict[str, dict[str, Column]], often: Column) -> Column:
-    """Whether an ending without a mark is a whole text's, from what happens at its contexts elsewhere; often: how many stops tell of a habit."""
+def _support(rows: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """(keys, name, spread): how many records the rows of each key come from, and whether from more than one source; copies count once."""
+    once = rows.groupBy(*keys, "record").agg(F.min(F.xxhash64("source")).alias("_lo"), F.max(F.xxhash64("source")).alias("_hi"))
+    return once.groupBy(*keys).agg(F.count(F.lit(1)).alias(name), (F.min("_lo") < F.max("_hi")).alias("spread"))
+
+
+def _whole(stat: dict[str, dict[str, Column]], often: Column, one_source: Column) -> Column:
+    """Whether an ending without a mark is a whole text's, from what happens at its contexts elsewhere.
+
+    often: of how many records the stops tell of a habit; one_source: whether there is but one source to show it.
+    """
     n = {k: s["ends"] + s["goes_on"] for k, s in stat.items()}
     share = {k: s["ends"] / F.greatest(n[k], F.lit(1)) for k, s in stat.items()}
-    habit = (stat["three"]["stops"] >= often) & (stat["three"]["ends"] + stat["three"]["stops"] >= stat["three"]["goes_on"])
+    habit = (stat["three"]["spread"] | one_source) & (stat["three"]["stops"] >= often) & (stat["three"]["ends"] + stat["three"]["stops"] >= stat["three"]["goes_on"])
     return (
         F.when((n["last"] < 1) & (stat["last"]["stops"] < F.greatest(F.lit(2), often / 4)), False)
         .when(habit, True)
@@ -202,45 +214,50 @@ def _whole(stat: dict[str, dict[str, Column]], often: Column) -> Column:
     )
 
 
-def truncated(df: DataFrame, fields: list[str], *, id_col: str = "rec_id", source: str = "feed", phrase_share: float = 0.002, least_phrase: int = 5) -> DataFrame:
+def truncated(df: DataFrame, fields: list[str], *, id_col: str = "rec_id", source: str = "feed", record: Column | None = None, phrase_share: float = 0.002, least_phrase: int = 5) -> DataFrame:
     """(id, source, field, cause) of each text that lost its end; cause is mark, limit or ending.
 
     A text with a mark of a cut (MARK) is truncated. A text that ends a sentence is whole, unless it ends in a
     number and such numbers go on elsewhere. Of the others, a text at a hidden limit of its source is truncated;
-    one whose words fill a text in phrase_share of all texts of its field (at least least_phrase) is a phrase and
-    whole; the rest is judged by contexts over the whole collection. Null and blank texts are no case; long texts
+    one that so many records hold as make up phrase_share of all texts of its field (at least least_phrase) is a
+    phrase and whole; the rest is judged by contexts over the whole collection. Copies of a record (rows alike in
+    record; each id is one without it) count once, as does a text that comes with it again; neither a phrase nor a
+    habit rests on one source where there are more, so copies of a damaged record are judged by their ending. Null and blank texts are no case; long texts
     are read whole; rows that repeat are reported as often as they come; an empty table gives no rows.
     """
-    texts = long_texts(df, fields, id_col, source)
+    texts = long_texts(df, fields, id_col, source, record)
     piles = durable(limits(texts).groupBy("field", "source").agg(F.map_from_entries(F.collect_list(F.struct("measure", "limit"))).alias("limits")))
     if piles.count() > MAX_SOURCES:
         raise ValueError(f"more than {MAX_SOURCES} sources with a limit")
-    total = durable(texts.groupBy("field").agg(F.count(F.lit(1)).alias("n")))
+    total = durable(_support(texts.select("field", "source", "record", F.xxhash64("text").alias("key")), ["field", "key"], "n").groupBy("field").agg(F.sum("n").alias("n")).join(texts.groupBy("field").agg((F.min("source") == F.max("source")).alias("one_source")), "field"))
     shown = F.regexp_replace(F.col("text"), r"(?U)\s+$", "")
     open_ = texts.withColumn("_s", F.right(shown, F.lit(40))).select("*", F.col("_s").rlike(MARK).alias("marked"), F.col("_s").rlike(FINAL).alias("_f"), F.col("_s").rlike(r"[0-9][.!?]?$").alias("numeric")).withColumn("final", F.col("_f") & ~F.col("marked")).drop("_s", "_f")
     placed = open_.filter("marked or not final or numeric").join(F.broadcast(piles), ["field", "source"], "left").withColumn("_m", measures(F.col("text")))
     at_limit = F.exists(F.map_entries("limits"), lambda e: F.element_at(F.col("_m"), e["key"]) == e["value"])
     judged = placed.withColumn("cause", F.when(F.col("marked"), "mark").when(~F.col("final") & F.coalesce(at_limit, F.lit(False)), "limit"))
     # from here on a text is a hash and the contexts of its last word
-    kept = durable(ending_contexts(judged.select("id", "source", "field", "cause", "final", "numeric", F.xxhash64("text").alias("key"), "text"), fields))
+    kept = durable(ending_contexts(judged.select("id", "source", "record", "field", "cause", "final", "numeric", F.xxhash64("text").alias("key"), "text"), fields))
     sure = kept.filter("cause is not null").select("id", "source", "field", "cause")
-    # short texts that many rows share are phrases; at most 1 / phrase_share a field, so they go to every task
-    phrases = kept.filter("cause is null and not final").groupBy("field", "key").agg(F.count(F.lit(1)).alias("k")).join(F.broadcast(total), "field").filter((F.col("k") >= least_phrase) & (F.col("k") >= phrase_share * F.col("n"))).select("field", "key").orderBy("field", "key").limit(int(len(fields) / phrase_share) + 1)
+    # texts that many records share are phrases; at most 1 / phrase_share a field, so they go to every task
+    phrases = _support(kept.filter("cause is null and not final"), ["field", "key"], "k").join(F.broadcast(total), "field").filter((F.col("spread") | F.col("one_source")) & (F.col("k") >= least_phrase) & (F.col("k") >= phrase_share * F.col("n"))).select("field", "key").orderBy("field", "key").limit(int(len(fields) / phrase_share) + 1)
     tails = kept.filter("cause is null").drop("cause").join(F.broadcast(phrases), ["field", "key"], "left_anti")
-    each = tails.select("id", "source", "field", "key", "final", "numeric", F.explode(F.map_from_arrays(F.array(*map(F.lit, KINDS)), F.array(*KINDS))).alias("kind", "context"))
+    by_kind = F.explode(F.map_from_arrays(F.array(*map(F.lit, KINDS)), F.array(*KINDS))).alias("kind", "context")
+    each = tails.select("id", "source", "field", "key", "final", "numeric", by_kind)
     wanted = each.groupBy("context").agg(F.count(F.lit(1)).alias("uses"))
     # what stands before the mark of a cut is no word
-    stats = context_counts(texts.filter(~shown.rlike(MARK)), fields).join(wanted, "context")
-    met = lookup(each, stats, ["context"], ["ends", "stops", "goes_on"], "uses")
-    # an ending has counted itself once
+    counts = context_counts(texts.filter(~shown.rlike(MARK)), fields)
+    stops = _support(kept.filter("not final and not cause <=> 'mark'").select("source", "record", by_kind), ["context"], "stops")
+    stats = wanted.join(counts, "context", "left").join(stops, "context", "left")
+    met = lookup(each, stats, ["context"], ["ends", "stops", "goes_on", "spread"], "uses")
+    # an ending has counted itself once, and its record once
     own = {"ends": F.col("final").cast("int"), "stops": (~F.col("final")).cast("int"), "goes_on": F.lit(0)}
     value = lambda kind, name: F.max(F.when(F.col("kind") == kind, F.coalesce(F.col(name), F.lit(0)) - own[name])).alias(name)
-    wide = met.groupBy("id", "source", "field", "key", "final", "numeric").agg(F.count(F.when(F.col("kind") == "last", 1)).alias("times"), *[F.struct(*[value(k, name) for name in own]).alias(k) for k in KINDS])
-    stat = {k: {name: F.col(f"{k}.{name}") for name in own} for k in KINDS}
+    wide = met.groupBy("id", "source", "field", "key", "final", "numeric").agg(F.count(F.when(F.col("kind") == "last", 1)).alias("times"), *[F.struct(*[value(k, name) for name in own], F.bool_or((F.col("kind") == k) & F.coalesce("spread", F.lit(False))).alias("spread")).alias(k) for k in KINDS])
+    stat = {k: {name: F.col(f"{k}.{name}") for name in [*own, "spread"]} for k in KINDS}
     wide = wide.join(F.broadcast(total), "field")
     often = F.greatest(F.lit(least_phrase), phrase_share / 2 * F.col("n"))
     number_goes_on = (stat["three"]["goes_on"] > 9 * stat["three"]["ends"]) & (stat["three"]["goes_on"] >= 3)
-    lost = wide.filter(F.when(F.col("final"), F.coalesce(number_goes_on, F.lit(False))).otherwise(~_whole(stat, often)))
+    lost = wide.filter(F.when(F.col("final"), F.coalesce(number_goes_on, F.lit(False))).otherwise(~_whole(stat, often, F.col("one_source"))))
     by_ending = lost.select("id", "source", "field", F.lit("ending").alias("cause"), F.explode(F.sequence(F.lit(1).cast("long"), F.col("times"))).alias("_n")).drop("_n")
     return sure.unionByName(by_ending)
 

@@ -117,3 +117,13 @@ def test_shares(spark):
     df = spark.createDataFrame(rows, DDL)
     got = {r.source: (r.n, r.n_truncated, r.share) for r in truncation.shares(df, truncation.truncated(df, ["body"]), ["body"]).collect()}
     assert got == {"a": (2, 1, 0.5), "": (1, 0, 0.0)}
+
+
+def test_copies_of_a_damaged_record_are_judged_by_their_ending(spark):
+    texts = whole_texts(300)
+    rows = [(i, f"f{i % 3}", t, f"PMC{i}") for i, t in enumerate(texts)] + [(1000 + i, f"f{i % 3}", "Not stated", f"PMC{1000 + i}") for i in range(30)]
+    # one record in a third of all rows, and one template cut by one feed in many records
+    rows += [(2000 + i, "f1", texts[0][:40], "PMC0") for i in range(90)] + [(3000 + i, "f2", "Effects of asthma were largest in the sec", f"PMC{3000 + i}") for i in range(10)]
+    df = spark.createDataFrame(rows, f"{DDL}, paper string")
+    got = [r.id for r in truncation.truncated(df, ["body"], record=truncation.F.col("paper")).collect()]
+    assert sorted(got) == [*range(2000, 2090), *range(3000, 3010)]
