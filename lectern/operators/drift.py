@@ -11,6 +11,7 @@ import re
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from lectern.functions import coerce
 from lectern.session import durable
 
 #: Keys under which producers are known to send a column, beside spellings that differ only in case or separators.
@@ -29,6 +30,13 @@ ALIASES: dict[str, list[str]] = {
 SUFFIXES = ["", "name", "level", "value", "category", "list", "text"]
 
 
+#: Commas that part the entries of a list written as a text. Terms: any but those inside a number, a name like 2,4-D or brackets.
+#: Links: one before a blank or an identifier, for others may belong to a URL. Sentences (key_findings, limitations) have none.
+TERM_COMMA = r"(?:(?<![0-9]),|,(?![0-9]))(?![^()]*\))"
+LINK_COMMA = r",(?=\s|(?i:https?://|doi:|10\.[0-9]|phs[0-9]|GSE[0-9]|PRJ[A-Z]{2}[0-9]|E-[A-Z]{4}-[0-9]))"
+COMMAS = {"pathologies_diseases": TERM_COMMA, "captured_features": TERM_COMMA, "data_accession_links": LINK_COMMA}
+
+
 def bare(key: str) -> str:
     """A key without case and separators."""
     return re.sub(r"[^0-9a-z]", "", key.lower())
@@ -83,6 +91,20 @@ def json_type(value: Column) -> Column:
     return F.concat(F.lower(head), plain, F.repeat(F.lit(">"), depth))
 
 
+def listed(text: Column, column: str) -> Column:
+    """The entries of a list written as a text, split at ';' and '|', and at the commas of its column (COMMAS).
+
+    Terms that another sign parts keep their commas; identifiers hold none, so links are split at all signs.
+    """
+    comma = COMMAS.get(column)
+    parts = F.split(text, "[;|]")
+    if comma == LINK_COMMA:
+        parts = F.split(text, f"[;|]|{comma}")
+    elif comma:
+        parts = F.when(text.rlike("[;|]"), parts).otherwise(F.split(text, comma))
+    return F.filter(F.transform(parts, lambda x: coerce.strip(x)), lambda x: x != "")
+
+
 def footers(raw: DataFrame, *, stream: str = "stream", file: str = "file_name", at: str = "exported_at", payload: str = "payload") -> DataFrame:
     """Distinct (stream, file, at, key, json_type) of the readable payloads. json_type is null where only nulls show."""
     keyed = raw.select(F.col(f"`{stream}`").alias("stream"), F.col(f"`{file}`").alias("file"), F.col(f"`{at}`").alias("at"), F.explode(readable(F.col(f"`{payload}`"))).alias("key", "value"))
@@ -152,7 +174,7 @@ def unified(raw: DataFrame, schema: list[tuple[str, str]], *, aliases: dict[str,
     """Every record as one table: the columns of schema (name, type string | boolean | array<string>), after those in keep.
 
     Casts follow from the JSON type met: an object gives its text fields joined by '-' (a lone one is itself), an
-    array of objects the id of each, a text for an array its parts split at ';', 0/1 and yes/no a boolean. readable
+    array of objects the id of each, a text for an array its entries (see listed), 0/1 and yes/no a boolean. readable
     is false for a damaged payload, whose columns are null. Keys without a column stay in extra as JSON text. A
     clashing name in keep takes the suffix _raw.
     """
@@ -171,8 +193,7 @@ def unified(raw: DataFrame, schema: list[tuple[str, str]], *, aliases: dict[str,
             cast = F.when(F.lower(text).isin("true", "yes", "y", "1"), True).when(F.lower(text).isin("false", "no", "n", "0"), False)
         elif kind == "array<string>":
             ids = F.transform(F.try_variant_get(value, "$", "array<variant>"), lambda x: F.try_variant_get(x, "$.id", "string"))
-            parts = F.filter(F.transform(F.split(text, ";"), lambda x: F.trim(x)), lambda x: x != "")
-            cast = F.when(shape == "array<object>", ids).when(shape == "string", parts).otherwise(F.try_variant_get(value, "$", "array<string>"))
+            cast = F.when(shape == "array<object>", ids).when(shape == "string", listed(text, column)).otherwise(F.try_variant_get(value, "$", "array<string>"))
         else:
             one = F.coalesce(F.try_variant_get(value, "$.category", "string"), F.concat_ws("-", F.try_variant_get(value, "$.name", "string"), F.try_variant_get(value, "$.build", "string")))
             many = F.array_join(F.try_variant_get(value, "$", "array<string>"), "; ")

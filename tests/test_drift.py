@@ -107,3 +107,24 @@ def test_lookup_joins_hot_and_other_keys_alike(spark):
     got = lookup(rows, table, ["k"], ["t"], "w", hot_keys=3)
     want = rows.join(table.select("k", "t"), "k", "left").select("k", "v", "t")
     assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+
+
+def test_lists_written_as_texts(spark, tmp_path):
+    import __spark_entry__ as entry
+
+    cases = [
+        ({"links": "phs926997.v4.p2 | phs974516.v3.p3"}, ["phs926997.v4.p2", "phs974516.v3.p3"]),
+        ({"links": "GSE1234, https://x.org/a,b?c=1,2,GSE99,https://y.org"}, ["GSE1234", "https://x.org/a,b?c=1,2", "GSE99", "https://y.org"]),
+        ({"links": "doi:10.99/d.8; E-MTAB-1, GSE5"}, ["doi:10.99/d.8", "E-MTAB-1", "GSE5"]),
+        ({"links": ""}, []),
+        ({"diseases": "childhood kidney injury, maternal anxiety"}, ["childhood kidney injury", "maternal anxiety"]),
+        ({"diseases": "anaemia, iron deficiency; asthma"}, ["anaemia, iron deficiency", "asthma"]),
+        ({"diseases": "epilepsy | mild wheeze|adhd"}, ["epilepsy", "mild wheeze", "adhd"]),
+        ({"diseases": "cleft (lip, palate),wheeze"}, ["cleft (lip, palate)", "wheeze"]),
+        ({"captured_features": "2,4-D in urine, age"}, ["2,4-D in urine", "age"]),
+        ({"key_findings": "Risk rose, then fell. | No change"}, ["Risk rose, then fell.", "No change"]),
+    ]
+    raw(spark, ("s", "f", 1, [p for p, _ in cases])).write.parquet(str(tmp_path / "raw_checklists.parquet"))
+    rows = entry.queries()["p4_table"](spark, str(tmp_path)).orderBy("raw_id").collect()
+    column = {"links": "data_accession_links", "diseases": "pathologies_diseases"}
+    assert [r[column.get(k, k)] for r, (p, _) in zip(rows, cases) for k in p] == [want for _, want in cases]
