@@ -73,17 +73,28 @@ def checklist_lines(df: DataFrame) -> DataFrame:
     return rows.select("no", "pmcid", "year", F.when(F.col("ehr_used"), "✓").otherwise("").alias("ehr"), tx.clip(F.coalesce(F.nullif(diseases, F.lit("")), F.lit("—")), 50).alias("diseases"), tx.clip(F.coalesce(F.nullif(F.col("data_source_type"), F.lit("")), F.lit("—")), 30).alias("source"), tx.clip(F.coalesce("summary", F.lit("")), 110).alias("summary"))
 
 
-def ids_by_bucket(df: DataFrame, bucket: Column, order: list[str], labels: list[str], most: int = 10_000) -> DataFrame:
-    """bucket, n and the ids in order, joined; buckets in declared order, empty ones left out.
+def id_parts(df: DataFrame, bucket: Column, order: list[str], labels: list[str], part_ids: int = 10_000) -> DataFrame:
+    """(place, bucket, part, n, ids): the ids of each bucket in order, joined, in numbered lines of at most part_ids.
 
-    The list of a bucket shows its first ids only when there are more than most: it is a line of a report.
+    Rows are numbered over ranges of all buckets in turn and counted from the bucket's first, so no task holds a bucket.
     """
-    place = F.array_position(F.array(*map(F.lit, labels)), F.col("bucket"))
-    tagged = df.select(*dict.fromkeys([*order, "pmcid"]), bucket.alias("bucket"))
-    each = Window.partitionBy("bucket").orderBy(*order)
-    shown = tagged.withColumn("_i", F.row_number().over(each)).filter(F.col("_i") <= most)
-    ids = shown.groupBy("bucket").agg(F.transform(F.array_sort(F.collect_list(F.struct("_i", "pmcid"))), lambda x: x["pmcid"]).alias("ids"))
-    return tagged.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).join(ids, "bucket").select("bucket", "n", F.array_join("ids", ", ").alias("ids"), place.cast("int").alias("place")).orderBy("place")
+    place = F.coalesce(F.array_position(F.array(*map(F.lit, labels)), F.col("bucket")), F.lit(0)).cast("int")
+    tagged = df.select(*dict.fromkeys([*order, "pmcid"]), bucket.alias("bucket")).withColumn("place", place)
+    rows = numbered(tagged, ["place", "bucket", *order], "_no")
+    first = rows.groupBy("bucket").agg(F.min("_no").alias("_first")).withColumnRenamed("bucket", "_b")
+    parts = rows.join(F.broadcast(first), F.col("bucket").eqNullSafe(F.col("_b"))).withColumn("part", F.floor((F.col("_no") - F.col("_first")) / part_ids + 1).cast("long"))
+    ids = F.transform(F.array_sort(F.collect_list(F.struct("_no", "pmcid"))), lambda x: x["pmcid"])
+    return parts.groupBy("place", "bucket", "part").agg(F.count(F.lit(1)).alias("n"), F.array_join(ids, ", ").alias("ids"))
+
+
+def ids_by_bucket(df: DataFrame, bucket: Column, order: list[str], labels: list[str], part_ids: int = 10_000) -> DataFrame:
+    """bucket, n and all its ids in order, joined; buckets in declared order, empty ones left out.
+
+    A bucket is one line made of its parts; where that would be too long to hold, take id_parts.
+    """
+    joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("part", "ids"))), lambda x: x["ids"]), ", ")
+    parts = id_parts(df, bucket, order, labels, part_ids)
+    return parts.groupBy("place", "bucket").agg(F.sum("n").alias("n"), joined.alias("ids")).select("bucket", "n", "ids", "place").orderBy("place")
 
 
 def markdown_table(head: list[str], rows: list[tuple]) -> str:

@@ -399,7 +399,19 @@ select {bucket_sql(rules.EXPOSURE_BUCKETS)} as bucket, count(*) as n, string_agg
 def bucket_id_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     one = _log(spark, sf_dir).groupBy("pmcid").agg(F.max(F.struct("year", "title")).alias("r")).select("pmcid", "r.*")
     labels = [*rules.EXPOSURE_BUCKETS, rules.OTHER]
-    return report.ids_by_bucket(one, rules.first_bucket(F.col("title"), rules.EXPOSURE_BUCKETS), ["year", "pmcid"], labels, most=1_000_000).drop("place")
+    return report.ids_by_bucket(one, rules.first_bucket(F.col("title"), rules.EXPOSURE_BUCKETS), ["year", "pmcid"], labels).drop("place")
+
+
+@query(
+    f"""with {TIDY_LOG}, one as (select pmcid, max({{'y': year, 't': title}}) as r from log group by 1), b as (select pmcid, r.y as year, {bucket_sql(rules.EXPOSURE_BUCKETS).replace('title', 'r.t')} as bucket from one),
+p as (select *, (row_number() over (partition by bucket order by year, pmcid) - 1) // 10000 + 1 as part from b)
+select bucket, part, count(*) as n, string_agg(pmcid, ', ' order by year, pmcid) as ids from p group by 1, 2"""
+)
+def bucket_id_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines of bucket_id_lists in numbered parts, for logs whose buckets are too large for one line."""
+    one = _log(spark, sf_dir).groupBy("pmcid").agg(F.max(F.struct("year", "title")).alias("r")).select("pmcid", "r.*")
+    labels = [*rules.EXPOSURE_BUCKETS, rules.OTHER]
+    return report.id_parts(one, rules.first_bucket(F.col("title"), rules.EXPOSURE_BUCKETS), ["year", "pmcid"], labels).drop("place")
 
 
 @query(
