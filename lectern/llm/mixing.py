@@ -61,18 +61,34 @@ def budgets(queue: DataFrame, targets: DataFrame, total_tokens: int | None = Non
 
 
 def mixed(queue: DataFrame, budget: DataFrame) -> DataFrame:
-    """(mix_name, source, id, turn, tokens, finish): the draws of every mix; turn counts the passes over a source from 1.
+    """(mix_name, source, id, turn, tokens, finish): the draws of every mix in order; turn counts the passes over a source from 1.
 
-    A draw is in the mix when its virtual finish time is within the budget, and the draw of a source that straddles
-    the budget when its greater part is: at virtual time V the sources together have given V tokens, so the mix is
-    truncated at the budget to within half a document a source.
+    Draws are range-sorted by mix and finish time and a mix ends where its running sum reaches the budget; the draw
+    that straddles the budget is in when its greater part is. No source is drawn from beyond its share of the
+    budget but for a draw that began before, so what a source lacks for a given total isn't made up by others.
     The targets are few and go to every task; their number is bounded by sources times mixes.
     """
     turns = budget.filter("source_tokens > 0").withColumn("last", F.least(F.col("max_repeats"), F.ceil(F.col("budget") * F.col("target_share") / F.col("source_tokens")))).filter("last > 0")
     plan = turns.select("mix_name", "source", "target_share", "source_tokens", "budget", F.explode(F.sequence(F.lit(1).cast("long"), F.col("last"))).alias("turn"))
     drawn = queue.join(F.broadcast(plan), "source")
     finish = ((F.col("turn") - 1) * F.col("source_tokens") + F.col("so_far")) / F.col("target_share")
-    return drawn.withColumn("finish", finish).filter(F.col("finish") - F.col("tokens") / (2 * F.col("target_share")) <= F.col("budget")).select("mix_name", "source", "id", F.col("turn").cast("int").alias("turn"), "tokens", "finish")
+    begun = drawn.withColumn("finish", finish).filter(F.col("finish") - F.col("tokens") / F.col("target_share") < F.col("budget"))
+    return _cut(in_order(begun.select("mix_name", "source", "id", F.col("turn").cast("int").alias("turn"), "tokens", "finish")), budget)
+
+
+def _cut(ordered: DataFrame, budget: DataFrame) -> DataFrame:
+    """The draws of range-sorted mixes up to their budgets, in that order: one range of a mix holds its end, the others are in or out whole."""
+    ranged = durable(ordered.withColumn("_part", F.spark_partition_id()))
+    ahead = Window.partitionBy("mix_name").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = ranged.groupBy("mix_name", "_part").agg(F.sum("tokens").alias("_n")).withColumn("_before", F.coalesce(F.sum("_n").over(ahead), F.lit(0)))
+    sizes = sizes.join(F.broadcast(budget.groupBy("mix_name").agg(F.max("budget").alias("_budget"))), "mix_name").filter("_before < _budget").withColumn("_whole", F.col("_before") + F.col("_n") <= F.col("_budget"))
+    sizes = durable(sizes)
+    place = F.struct("finish", "source", "id")
+    inside = Window.partitionBy("mix_name").orderBy("finish", "source", "id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ends = ranged.join(F.broadcast(sizes.filter("not _whole")), ["mix_name", "_part"]).withColumn("_sum", F.col("_before") + F.sum("tokens").over(inside)).filter(F.col("_sum") - F.col("tokens") / 2 <= F.col("_budget"))
+    last = ends.groupBy("mix_name", "_part").agg(F.max(place).alias("_last"))
+    kept = sizes.select("mix_name", "_part", "_whole").join(F.broadcast(last), ["mix_name", "_part"], "left")
+    return ranged.join(F.broadcast(kept), ["mix_name", "_part"]).filter(F.col("_whole") | (place <= F.col("_last"))).select(ordered.columns)
 
 
 def shares(draws: DataFrame, budget: DataFrame) -> DataFrame:
@@ -83,9 +99,10 @@ def shares(draws: DataFrame, budget: DataFrame) -> DataFrame:
     return each.select("mix_name", "source", "target_share", F.when(total > 0, F.col("tokens") / total).otherwise(0.0).alias("reached_share"), "tokens", "draws", "turns", "source_tokens", "budget")
 
 
-def in_order(draws: DataFrame, partitions: int) -> DataFrame:
+def in_order(draws: DataFrame, partitions: int | None = None) -> DataFrame:
     """The draws range-sorted by mix and finish time, for writing the mix in order."""
-    return draws.repartitionByRange(partitions, "mix_name", "finish", "source", "id").sortWithinPartitions("mix_name", "finish", "source", "id")
+    parts = [] if partitions is None else [partitions]
+    return draws.repartitionByRange(*parts, "mix_name", "finish", "source", "id").sortWithinPartitions("mix_name", "finish", "source", "id")
 
 
 def kept_sizes(sizes: DataFrame) -> DataFrame:

@@ -82,3 +82,16 @@ def test_nulls_blanks_and_empty_tables(spark):
             mixing.budgets(queue, targets)
         finally:
             mixing.MAX_TARGETS = kept
+
+
+def test_the_mix_comes_in_order_and_ends_at_the_budget(spark, library):
+    targets = spark.createDataFrame([("m", "big", 0.5, 9), ("m", "small", 0.3, 9), ("m", "tiny", 0.2, 9), ("k", "tiny", 1.0, 9)], "mix_name string, source string, target_share double, max_repeats int")
+    queue = mixing.queued(library)
+    for total in (1, 5_000, 123_456):
+        draws = [r for r in mixing.mixed(queue, mixing.budgets(queue, targets, total_tokens=total)).collect()]
+        assert [(r.mix_name, r.finish) for r in draws] == sorted((r.mix_name, r.finish) for r in draws)
+        for mix in ("k", "m"):
+            own = [r.tokens for r in draws if r.mix_name == mix]
+            # to within half a document in all, and no draw that ends the mix is left out
+            assert abs(sum(own) - total) <= 200
+            assert not own or sum(own) - own[-1] / 2 <= total
