@@ -1,7 +1,7 @@
 """Find texts that lost their end, and the storage limits that cut them.
 
 Lengths are recomputed as characters, UTF-8 bytes, UTF-16 units, with entities, JSON escapes and two-byte line
-ends; a pile at the greatest length of a source under one of these is a hidden limit. Then endings are inspected:
+ends; a pile at a length of a source under one of these is a hidden limit. Then endings are inspected:
 an ending is judged by how the same words go on in the whole collection. Contexts of an ending (the last word, the
 last two, three and six, and the frame of function words of its sentence) are looked up among all contexts of all
 texts, counted by how often a sentence ends there and how often it goes on.
@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lectern.operators.skew import lookup
 from lectern.session import durable
@@ -60,14 +60,26 @@ def long_texts(df: DataFrame, fields: list[str], id_col: str, source: str, recor
 
 
 def limits(texts: DataFrame, *, least: int = 5, least_share: float = 0.005, times: float = 3.0) -> DataFrame:
-    """(field, source, measure, limit, n_at_limit, n): hidden limits, where the greatest length of a source is a pile.
+    """(field, source, measure, limit, n_at_limit, n): hidden limits, where a length of a source is a pile.
 
-    A pile has at least least texts, least_share of the source's, and times as many as each of the ten lengths below on average.
+    A pile has at least least texts, least_share of the source's, and times as many as each of the ten lengths below on
+    average. At the greatest length every text counts. At any other, where phrases and templates pile as well, only
+    different endings (the last 12 characters, digits alike) of texts that end no sentence do; they must exceed the ten
+    lengths on either side, and by more than chance gives to one of many lengths.
     """
-    counted = texts.select("field", "source", F.explode(measures(F.col("text"))).alias("measure", "length")).groupBy("field", "source", "measure", "length").count()
-    top = counted.groupBy("field", "source", "measure").agg(F.max("length").alias("limit"), F.max_by("count", "length").alias("n_at_limit"), F.sum("count").alias("n"))
-    below = counted.join(top, ["field", "source", "measure"]).filter("length < limit and length >= limit - 10").groupBy("field", "source", "measure").agg(F.sum("count").alias("n_below"))
-    return top.join(below, ["field", "source", "measure"], "left").filter((F.col("n_at_limit") >= least) & (F.col("n_at_limit") >= least_share * F.col("n")) & (F.col("n_at_limit") >= times * F.coalesce("n_below", F.lit(0)) / 10)).drop("n_below")
+    shown = F.right(F.regexp_replace(F.col("text"), r"(?U)\s+$", ""), F.lit(40))
+    ending = F.when(~shown.rlike(MARK) & ~shown.rlike(FINAL), F.xxhash64(F.regexp_replace(F.right(shown, F.lit(12)), "[0-9]", "0")))
+    group = ["field", "source", "measure"]
+    each = texts.select("field", "source", ending.alias("ending"), F.explode(measures(F.col("text"))).alias("measure", "length")).groupBy(*group, "length", "ending").count()
+    counted = each.groupBy(*group, "length").agg(F.sum("count").alias("k"), F.count("ending").alias("open"))
+    # a window holds the distinct lengths of a source, not its texts
+    whole, order = Window.partitionBy(*group), Window.partitionBy(*group).orderBy("length")
+    near = lambda name, lo, hi: F.coalesce(F.sum(name).over(order.rangeBetween(lo, hi)), F.lit(0)) / 10
+    placed = counted.select("*", F.sum("k").over(whole).alias("n"), F.max("length").over(whole).alias("top"), near("k", -10, -1).alias("below"), F.greatest(near("open", -10, -1), near("open", 1, 10)).alias("beside"))
+    enough = lambda name: (F.col(name) >= least) & (F.col(name) >= least_share * F.col("n"))
+    last = (F.col("length") == F.col("top")) & enough("k") & (F.col("k") >= times * F.col("below"))
+    inner = enough("open") & (F.col("open") >= times * F.col("beside")) & (F.col("open") >= F.col("beside") + 6 * F.sqrt("beside") + least)
+    return placed.filter(last | inner).select(*group, F.col("length").alias("limit"), F.col("k").alias("n_at_limit"), "n")
 
 
 def _hash(text: str) -> int:
@@ -226,14 +238,14 @@ def truncated(df: DataFrame, fields: list[str], *, id_col: str = "rec_id", sourc
     are read whole; rows that repeat are reported as often as they come; an empty table gives no rows.
     """
     texts = long_texts(df, fields, id_col, source, record)
-    piles = durable(limits(texts).groupBy("field", "source").agg(F.map_from_entries(F.collect_list(F.struct("measure", "limit"))).alias("limits")))
+    piles = durable(limits(texts).groupBy("field", "source").agg(F.collect_list(F.struct("measure", "limit")).alias("limits")))
     if piles.count() > MAX_SOURCES:
         raise ValueError(f"more than {MAX_SOURCES} sources with a limit")
     total = durable(_support(texts.select("field", "source", "record", F.xxhash64("text").alias("key")), ["field", "key"], "n").groupBy("field").agg(F.sum("n").alias("n")).join(texts.groupBy("field").agg((F.min("source") == F.max("source")).alias("one_source")), "field"))
     shown = F.regexp_replace(F.col("text"), r"(?U)\s+$", "")
     open_ = texts.withColumn("_s", F.right(shown, F.lit(40))).select("*", F.col("_s").rlike(MARK).alias("marked"), F.col("_s").rlike(FINAL).alias("_f"), F.col("_s").rlike(r"[0-9][.!?]?$").alias("numeric")).withColumn("final", F.col("_f") & ~F.col("marked")).drop("_s", "_f")
     placed = open_.filter("marked or not final or numeric").join(F.broadcast(piles), ["field", "source"], "left").withColumn("_m", measures(F.col("text")))
-    at_limit = F.exists(F.map_entries("limits"), lambda e: F.element_at(F.col("_m"), e["key"]) == e["value"])
+    at_limit = F.exists("limits", lambda e: F.element_at(F.col("_m"), e["measure"]) == e["limit"])
     judged = placed.withColumn("cause", F.when(F.col("marked"), "mark").when(~F.col("final") & F.coalesce(at_limit, F.lit(False)), "limit"))
     # from here on a text is a hash and the contexts of its last word
     kept = durable(ending_contexts(judged.select("id", "source", "record", "field", "cause", "final", "numeric", F.xxhash64("text").alias("key"), "text"), fields))

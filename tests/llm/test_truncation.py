@@ -127,3 +127,16 @@ def test_copies_of_a_damaged_record_are_judged_by_their_ending(spark):
     df = spark.createDataFrame(rows, f"{DDL}, paper string")
     got = [r.id for r in truncation.truncated(df, ["body"], record=truncation.F.col("paper")).collect()]
     assert sorted(got) == [*range(2000, 2090), *range(3000, 3010)]
+
+
+def test_limits_below_the_greatest_length(spark):
+    texts = [t for t in whole_texts(2000) if len(t) > 160]
+    half = len(texts) // 2
+    # two stores behind one feed, and one text longer than both; templates and phrases of one length are no limit
+    rows = [(i, "f", t[:120] if i < half else t[:150]) for i, t in enumerate(texts)] + [(7000, "f", texts[0])]
+    rows += [(8000 + i, "g", f"Raw files are archived (GSE{90000000 + i})") for i in range(60)] + [(8500 + i, "g", "Not stated") for i in range(60)] + [(9000 + i, "g", t) for i, t in enumerate(whole_texts(400, seed=3))]
+    df = spark.createDataFrame(rows, DDL)
+    got = {(r.source, r.limit) for r in truncation.limits(truncation.long_texts(df, ["body"], "rec_id", "feed")).filter("measure = 'chars'").collect()}
+    assert got == {("f", 120), ("f", 150)}
+    lost = {i for i, t in enumerate(texts) if (t[:120] if i < half else t[:150])[-1] not in ".!?"}
+    assert lost <= {i for i, cause in found(spark, rows) if cause == "limit"}
