@@ -10,6 +10,7 @@ come from a table over all n-grams of the training text: a row has one lane a la
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 
@@ -17,7 +18,7 @@ ORDER = 4
 #: Costs are kept in sixteenths of a bit, three languages to a 64-bit word.
 UNIT, LANE = 16, 21
 LANES = 3
-#: Bytes scored at once; a lane can't overflow within a stretch of this many.
+#: Most bytes summed at once; fewer where the costs of a model could overflow a lane (Model.block).
 BLOCK = 8000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _EMPTY = np.uint64((1 << 64) - 1)
@@ -54,6 +55,10 @@ class Level:
         mixed >>= np.uint64(64 - self.bits)
         return mixed.view(np.int64)
 
+    def most(self) -> int:
+        """The largest cost in any lane."""
+        return max(int(((self.words >> np.uint64(LANE * i)) & np.uint64((1 << LANE) - 1)).max(initial=0)) for i in range(LANES))
+
     def find(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Slot of each code, and which codes are not there (their slots mean nothing)."""
         slots = self.slot(codes, 0)
@@ -79,6 +84,12 @@ class Model:
     grams: list[Level]
     escapes: list[Level]
 
+    @cached_property
+    def block(self) -> int:
+        """Bytes whose costs fit a lane: none costs more than every escape and the dearest n-gram."""
+        dearest = max((x.most() for x in self.grams), default=0) + sum(x.most() for x in self.escapes)
+        return max(1, min(BLOCK, ((1 << LANE) - 1) // max(1, dearest)))
+
     def plain(self) -> tuple:
         """Arrays and names only, for a broadcast."""
         level = lambda x: (x.keys, x.words, x.bits)
@@ -162,15 +173,15 @@ def unpack(words: np.ndarray, languages: int) -> np.ndarray:
 def stretch_bits(model: Model, data: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """Code length in bits, a row a stretch and a column a language, of the stretches of data that begin at starts.
 
-    starts ascends from 0. Stretches longer than BLOCK are summed block by block.
+    starts ascends from 0. Stretches longer than the model's block are summed block by block.
     """
     order = len(model.grams) - 1
     lead = np.full(order, 32, np.uint8)
     words = packed_costs(model, np.concatenate([lead, data]))
     ends = np.r_[starts[1:], len(data)]
-    if (ends - starts).max(initial=0) <= BLOCK:
+    if (ends - starts).max(initial=0) <= model.block:
         return unpack(np.add.reduceat(words, starts, axis=1), len(model.languages))
-    pieces = [(np.arange(s, max(e, s + 1), BLOCK), i) for i, (s, e) in enumerate(zip(starts, ends, strict=True))]
+    pieces = [(np.arange(s, max(e, s + 1), model.block), i) for i, (s, e) in enumerate(zip(starts, ends, strict=True))]
     cuts = np.concatenate([p for p, _ in pieces])
     owner = np.repeat([i for _, i in pieces], [len(p) for p, _ in pieces])
     bits = unpack(np.add.reduceat(words, cuts, axis=1), len(model.languages))

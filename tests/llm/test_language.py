@@ -105,3 +105,15 @@ def test_held_out_accuracy(spark, data):
     got = language.identify(labelled.filter(~half), model, keep=["code"]).groupBy((F.col("lang") == F.col("code")).alias("same")).count()
     counts = {r.same: r["count"] for r in got.collect()}
     assert counts[True] / sum(counts.values()) > 0.9  # some labels are wrong by design
+
+
+def test_a_long_stretch_in_an_unseen_script_does_not_overflow():
+    rng = np.random.default_rng(5)
+    latin = [bytes(rng.choice(list(b"etaoin shrdlu"), 500_000).tolist())]
+    model = ppm.fit({"aa": latin, "bb": [x[::-1] for x in latin], "cc": [x.upper() for x in latin], "ru": [("дети и школа " * 40).encode()]})
+    text = np.frombuffer(("детиишкола" * 5_000).encode(), np.uint8)
+    whole = ppm.stretch_bits(model, text, np.array([0]))[0]
+    parts = ppm.stretch_bits(model, text, np.arange(0, len(text), 1_000))
+    # a piece other than the first loses nothing: costs depend on the bytes before, not on where a piece begins
+    assert len(text) == 100_000 and whole == pytest.approx(parts.sum(axis=0))
+    assert model.languages[int(whole.argmin())] == "ru"
