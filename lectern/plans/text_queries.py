@@ -69,6 +69,12 @@ def wrap_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("id", tx.unwrap(F.col("body")).alias("body"), F.array_join(tx.accession_links(F.col("body")), " | ").alias("links"))
 
 
+@query(rf"with l as (select doc_id, {unwrap_sql('text')} as body from documents), m as (select *, {extract_all_sql('body', tx.ACCESSIONS)} as l from l) select doc_id, md5(body) as digest, array_to_string({ordered_distinct_sql('l')}, ' | ') as links from m")
+def wrap_repair_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_table(spark, sf_dir, "documents")
+    return rows.select("doc_id", F.md5(tx.unwrap(F.col("text"))).alias("digest"), F.array_join(tx.accession_links(F.col("text")), " | ").alias("links"))
+
+
 AT = f"instr(text, regexp_extract(text, '{tx.AVAILABILITY_HEADING}'))"
 
 
@@ -126,21 +132,9 @@ def chunk_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(*[F.array_join(c, " | ").alias(c) if c in lists else F.col(c) for c in out.columns])
 
 
-REPLIES = [
-    (1, 'Sure:\n```json\n{"a": 1, "b": ["x"]}\n```\nDone.'),
-    (2, 'noise {"a": 2} trailing'),
-    (3, "garbage"),
-    (4, '{"a": 1} and {"a": 3, "b": 4}'),
-    (5, '{"a": {"b": 5}'),
-    (6, '{"a": 6, "b": "cut'),
-    (7, None),
-    (8, ""),
-]
-
-
 @query()
 def json_salvage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fixture(spark, "id int, reply string", REPLIES).select("id", jsonfix.salvaged_json("reply").alias("found"))
+    return read_table(spark, sf_dir, "raw_checklists").select(F.col("raw_id").alias("id"), jsonfix.salvaged_json("payload").alias("found"))
 
 
 PROSE = [
@@ -231,6 +225,15 @@ def clip_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fixture(spark, "id int, body string", CELLS).select("id", tx.clip(F.col("body"), 20).alias("cell"))
 
 
+@query(
+    rf"""select rec_id, case when length(cell) <= 110 then case when cell = '' then '—' else cell end
+  else regexp_replace(case when contains(left(cell, 110), ' ') then regexp_replace(left(cell, 110), ' [^ ]*$', '') else left(cell, 110) end, '[ ,;:.-]+$', '') || '…' end as cell
+from (select rec_id, {strip_sql("replace(summary, '|', '/')")} as cell from checklists)"""
+)
+def clip_summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_table(spark, sf_dir, "checklists").select("rec_id", tx.clip(F.col("summary"), 110).alias("cell"))
+
+
 def queries() -> dict:
     return dict(REGISTRY.queries)
 

@@ -131,3 +131,34 @@ def test_routes(spark):
 def test_searches(spark):
     rows = spark.createDataFrame([(1, "Exposome of children", "risk in a cohort"), (2, "Exposome of adults", "risk"), (3, "Exposome of children", "risk; a protocol"), (4, None, None)], "id int, t string, b string")
     assert {r.id: r.tiers for r in rules.with_tiers(rows, "t", "b").collect()} == {1: [1, 4], 2: [], 3: [], 4: []}
+
+
+def test_replies_are_salvaged(spark):
+    replies = [
+        ('Sure:\n```json\n{"a": 1, "b": ["x"]}\n```\nDone.', '{"a": 1, "b": ["x"]}'),
+        ('noise {"a": 2} trailing', '{"a": 2}'),
+        ("garbage", None),
+        ('{"a": 1} and {"a": 3, "b": 4}', '{"a": 3, "b": 4}'),
+        ('{"a": {"b": 5}', '{"a": {"b": 5}}'),
+        ('{"a": 6, "b": "cut', None),
+        (None, None),
+        ("", None),
+    ]
+    df = spark.createDataFrame([(i, r) for i, (r, _) in enumerate(replies)], "id int, reply string")
+    got = {r.id: r.found for r in df.select("id", jsonfix.salvaged_json("reply").alias("found")).collect()}
+    assert [got[i] for i in range(len(replies))] == [want for _, want in replies]
+
+
+def test_fixture_operators_run_over_their_tables(spark, data):
+    import json
+
+    from lectern.plans import catalogue
+    from lectern.session import read_table
+
+    run = lambda name: catalogue.queries()[name](spark, data)
+    payloads = {r.raw_id: r.payload for r in read_table(spark, data, "raw_checklists").collect()}
+    got = run("json_salvage").collect()
+    assert len(got) == read_table(spark, data, "raw_checklists").count()
+    assert all(r.found == json.dumps(jsonfix.salvage(payloads[r.id]), ensure_ascii=False, sort_keys=True) for r in got if r.found is not None)
+    assert run("wrap_repair_documents").count() == read_table(spark, data, "documents").count()
+    assert run("clip_summaries").count() == read_table(spark, data, "checklists").count()
