@@ -9,95 +9,30 @@ the mapping needs no shuffle and a value that fills a third of all rows costs on
 from __future__ import annotations
 
 import unicodedata
+from bisect import bisect_left
 from collections.abc import Iterator
 from functools import lru_cache
+from math import log
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from lectern.session import durable
+
 #: Most names (terms and aliases) a reference list may hold; it travels to every task.
 MAX_NAMES = 200_000
-
-#: Further everyday names of reference terms, for lists whose own aliases are not complete.
-SYNONYMS: dict[str, dict[str, list[str]]] = {
-    "exposure_domain": {
-        "air pollution": ["dirty city air", "polluted outdoor air", "smog"],
-        "lead exposure": ["Pb in blood", "blood lead"],
-        "mercury exposure": ["methylmercury in hair"],
-        "arsenic exposure": ["As in urine (arsenic)", "urinary arsenic"],
-        "cadmium exposure": ["urinary cadmium"],
-        "tobacco smoke": ["second-hand smoke", "smoking in pregnancy", "passive smoking"],
-        "electronic cigarettes": ["e-cigs", "e-cigarettes"],
-        "pesticides": ["organophosphates"],
-        "phthalates and phenols": ["bisphenol A"],
-        "perfluorinated compounds": ["PFOA/PFOS"],
-        "flame retardants": ["PBDEs"],
-        "traffic noise": ["noise from roads"],
-        "extreme heat": ["very hot days"],
-        "indoor allergens": ["house dust mites"],
-        "mould and dampness": ["damp housing"],
-        "drinking water contaminants": ["tap water pollutants"],
-        "maternal diet": ["diet in pregnancy"],
-        "famine and undernutrition": ["prenatal famine", "starvation in utero"],
-        "maternal stress": ["stress of the mother"],
-        "prenatal alcohol": ["drinking (alcohol) while pregnant"],
-        "illicit drugs in pregnancy": ["illicit drugs in gestation"],
-        "prescribed medication in pregnancy": ["prescribed medication in gestation"],
-        "gestational glucose": ["maternal fasting glucose"],
-        "influenza vaccination": ["flu shots"],
-        "coronavirus vaccination": ["SARS-CoV-2 vaccine"],
-        "green space": ["trees and parks", "greenery near home"],
-        "pollen": ["grass and birch pollen counts"],
-        "antibiotic use": ["antibiotics"],
-        "screen time": ["hours spent on screens"],
-        "ionising radiation": ["radiation dose"],
-    },
-    "study_design": {
-        "prospective birth cohort": ["children followed from birth", "birth cohort"],
-        "case-control study": ["cases vs. controls"],
-        "cross-sectional survey": ["one-time survey", "cross-sectional"],
-        "randomised controlled trial": ["trial with random allocation", "randomised trial"],
-        "case report": ["report of one case"],
-        "case series": ["series of cases"],
-        "time-series analysis": ["analysis of daily time series"],
-        "animal experiment": ["experiment in mice", "mouse model"],
-        "cell culture experiment": ["cultured cells"],
-        "registry linkage study": ["linked registers"],
-        "twin study": ["twins design"],
-        "sibling comparison": ["sib-matched comparison"],
-        "qualitative interviews": ["in-depth interviews"],
-    },
-    "data_source_type": {
-        "electronic health records": ["electronic medical records", "e-health records", "e-medical records", "hospital EHR extract"],
-        "insurance claims": ["claims database"],
-        "birth cohort data": ["birth cohort"],
-        "clinical trial data": ["data of a trial", "clinical trial"],
-        "laboratory measurements": ["lab assays", "lab measurements"],
-        "animal data": ["mouse data"],
-        "parent questionnaires": ["questionnaires filled in by parents"],
-        "vaccine safety reports": ["adverse event reports after vaccines"],
-        "air monitoring network": ["air quality monitors"],
-        "hospital discharge files": ["discharge records of hospitals"],
-        "primary care notes": ["family doctor notes"],
-        "biobank samples": ["banked samples"],
-        "census tables": ["census data"],
-        "death certificates": ["death registrations"],
-        "wearable sensors": ["wrist-worn sensors"],
-    },
-}
-
-#: Words that say nothing about what a value means.
-FILLER = frozenset(
-    "a an the of in on at by to and or with for from among etc data study main primary mainly based kind related "
-    "factors secondary analysis self reported checked third trimester early childhood months month years year visits "
-    "sites families de identified n vs".split()
-)
-#: Words that open a phrase of place, people or time behind a mention.
+#: A word is learnt as filler only if it makes up one in so many words beside mentions, so there are no more fillers than that.
+FILLER_WORDS = 20_000
+#: Terms a word must stand beside to be filler, none of them with more than half of its uses.
+FILLER_TERMS = 3
+
+#: Function words of English: they say nothing about what a value means.
+FUNCTION_WORDS = frozenset("a an the of in on at by to and or with for from among as is are while after before during per vs via than".split())
+#: Those that open a phrase of place, people or time behind a mention.
 OPENERS = frozenset("in from among for of with".split())
-#: Ordinary words that weigh little in a name.
-LIGHT = frozenset("a an the of in on at by to and or with for from study data".split())
-#: Tokens that stand for one another inside a name.
-SAME = {"immunisation": "vaccination", "immunization": "vaccination", "vaccine": "vaccination", "vaccines": "vaccination", "gestation": "pregnancy", "mold": "mould"}
+#: Endings that English inflects and derives words with, longest first.
+ENDINGS = "ations ation ments ment ings ing ions ion ages age ries ry ers er ies ied ed es s e y".split()
 
 
 def normalise(value: str) -> str:
@@ -125,8 +60,11 @@ def edits(a: str, b: str, most: int) -> int:
 
 
 def shortened(word: str, times: int) -> set[str]:
-    """The word and what is left of it after dropping up to so many characters."""
-    found = level = {word}
+    """The first seven characters of a word and what is left of them after dropping up to so many.
+
+    Words within so many edits of each other share one of these, for an edit costs each side one character at most.
+    """
+    found = level = {word[:7]}
     for _ in range(times):
         level = {w[:i] + w[i + 1 :] for w in level for i in range(len(w))}
         found = found | level
@@ -137,14 +75,22 @@ def allowed(word: str) -> int:
     return 0 if len(word) < 3 else 1 if len(word) < 6 else 2
 
 
+def stem(word: str) -> str:
+    """A word without its ending, where at least four characters are left."""
+    for ending in ENDINGS:
+        if word.endswith(ending) and len(word) - len(ending) >= 4:
+            return word[: -len(ending)]
+    return word
+
+
 class FieldIndex:
-    """Names of one field: automaton for mentions, typo index for tokens, token sets for similarity."""
+    """Names of one field: automaton for mentions, indexes of typos, stems and prefixes for tokens, token sets for similarity."""
 
-    def __init__(self, names: dict[str, int], least_name: float, least_value: float):
+    def __init__(self, names: dict[str, int], least_name: float, least_value: float, filler: frozenset[str] = frozenset()):
         import ahocorasick
 
         self.names, self.least_name, self.least_value = names, least_name, least_value
-        self.sets = {name: tuple(SAME.get(w, w) for w in name.split()) for name in names}
+        self.sets = {name: tuple(name.split()) for name in names}
         self.automaton = ahocorasick.Automaton()
         for name in names:
             self.automaton.add_word(f" {name} ", name)
@@ -154,27 +100,39 @@ class FieldIndex:
         for name, words in self.sets.items():
             for word in set(words):
                 self.having.setdefault(word, []).append(name)
-        self.typos: dict[str, set[str]] = {}
-        for word in [*self.having, *(w for w, same in SAME.items() if same in self.having)]:
+        # a word of a name keeps its meaning there, however often it stands beside other terms
+        self.filler = FUNCTION_WORDS | {w for w in filler if w not in self.having}
+        # a word weighs by its length and by how rare it is among the names
+        scale = log(len(names) + 1)
+        self.weight = {w: len(w) * max(0.2, log((len(names) + 1) / len(found)) / scale) * (0.3 if w in FUNCTION_WORDS else 1.0) for w, found in self.having.items()}
+        self.sorted = sorted(self.having)
+        self.typos: dict[str, list[str]] = {}
+        self.stems: dict[str, list[str]] = {}
+        for word in self.sorted:
             for short in shortened(word, allowed(word)):
-                self.typos.setdefault(short, set()).add(word)
+                self.typos.setdefault(short, []).append(word)
+            self.stems.setdefault(stem(word), []).append(word)
         self.like = lru_cache(maxsize=200_000)(self._like)
 
     def _like(self, token: str) -> dict[str, float]:
-        """Words of the names that the token may be a spelling of, with a similarity."""
-        token = SAME.get(token, token)
+        """Words of the names that the token may be a spelling or a form of, with a similarity."""
         found = {token: 1.0} if token in self.having else {}
         if token.isdigit():
             return found
         for short in shortened(token, allowed(token)):
             for word in self.typos.get(short, ()):
-                if (d := edits(token, word, allowed(word))) <= allowed(word):
-                    same = SAME.get(word, word)
-                    found[same] = max(found.get(same, 0.0), 1 - d / max(len(token), len(word)))
-        if len(token) >= 3:
-            for word in self.having:
-                if word.startswith(token) and word not in found and len(word) > len(token) + 1:
-                    found[word] = 0.85
+                if word not in found and (d := edits(token, word, allowed(word))) <= allowed(word):
+                    found[word] = 1 - d / max(len(token), len(word))
+        for word in self.stems.get(stem(token), ()):
+            found[word] = max(found.get(word, 0.0), 0.9)
+        # an abbreviation; of one or two letters it tells less
+        if token not in FUNCTION_WORDS:
+            for at in range(bisect_left(self.sorted, token), len(self.sorted)):
+                word = self.sorted[at]
+                if not word.startswith(token):
+                    break
+                if word not in found and len(word) > len(token) + 1:
+                    found[word] = 0.85 if len(token) >= 3 else 0.7
         return found
 
     def mentions(self, text: str) -> list[tuple[int, int, str]]:
@@ -187,8 +145,9 @@ class FieldIndex:
             hits.append((start, start + len(name), name))
         chosen: list[tuple[int, int, str]] = []
         for start, end, name in sorted(hits, key=lambda x: (x[0] - x[1], x[0])):
-            if all(end <= s or start >= e for s, e, _ in chosen):
-                chosen.append((start, end, name))
+            at = bisect_left(chosen, (start, end, name))
+            if (at == 0 or chosen[at - 1][1] <= start) and (at == len(chosen) or chosen[at][0] >= end):
+                chosen.insert(at, (start, end, name))
         return chosen
 
     def content(self, tokens: list[str], used: set[int]) -> list[str]:
@@ -199,34 +158,41 @@ class FieldIndex:
                 seen, open_phrase = True, False
             elif token in OPENERS and seen:
                 open_phrase = True
-            elif not open_phrase and token not in FILLER and not token.isdigit():
+            elif not open_phrase and token not in self.filler and not token.isdigit():
                 rest.append(token)
         return rest
 
-    def by_mention(self, text: str) -> tuple[int, float]:
+    def mentioned(self, text: str) -> tuple[str, int, list[str]]:
+        """The longest name in the text (the first of equal ones), the characters of all names in it, and the other tokens that carry meaning."""
         found = self.mentions(text)
         if not found:
-            return 0, 0.0
-        tokens, at, used = text.split(), 0, set()
+            return "", 0, []
+        tokens, at, used, spans = text.split(), 0, set(), iter(found)
+        span = next(spans)
         for i, token in enumerate(tokens):
-            if any(s <= at < e for s, e, _ in found):
+            while span and at >= span[1]:
+                span = next(spans, None)
+            if span and span[0] <= at:
                 used.add(i)
             at += len(token) + 1
-        rest = sum(map(len, self.content(tokens, used)))
-        named = sum(len(name.replace(" ", "")) for *_, name in found)
-        share = named / (named + rest)
-        return (self.names[found[0][2]], share) if share >= self.least_value else (0, 0.0)
+        longest = max(found, key=lambda x: (x[1] - x[0], -x[0]))[2]
+        return longest, sum(len(name.replace(" ", "")) for *_, name in found), self.content(tokens, used)
+
+    def by_mention(self, text: str) -> tuple[int, float]:
+        name, named, rest = self.mentioned(text)
+        share = named / (named + sum(map(len, rest))) if name else 0.0
+        return (self.names[name], share) if name and share >= self.least_value else (0, 0.0)
 
     def by_tokens(self, text: str) -> tuple[int, float]:
         tokens = text.split()
         likes = [self.like(t) for t in tokens]
-        candidates = {name for like in likes for word in like if word not in LIGHT for name in self.having[word]}
+        candidates = {name for like in likes for word in like if word not in FUNCTION_WORDS for name in self.having[word]}
         best: tuple[float, float, str] = (0.0, 0.0, "")
         for name in candidates:
             have = total = 0.0
             used: set[int] = set()
             for word in self.sets[name]:
-                weight = len(word) * (0.3 if word in LIGHT else 1.0)
+                weight = self.weight[word]
                 total += weight
                 fit = max(((like[word], -i) for i, like in enumerate(likes) if word in like and i not in used), default=None)
                 if fit:
@@ -234,7 +200,7 @@ class FieldIndex:
                     have += weight * fit[0]
             if total == 0 or have / total < self.least_name:
                 continue
-            named = sum(len(tokens[i]) for i in used if tokens[i] not in LIGHT)
+            named = sum(len(tokens[i]) for i in used if tokens[i] not in FUNCTION_WORDS)
             share = named / max(1, named + sum(map(len, self.content(tokens, used))))
             if share >= self.least_value:
                 best = max(best, (have / total * share, have, name))
@@ -245,7 +211,7 @@ class FieldIndex:
     def by_spelling(self, tokens: list[str], likes: list[dict[str, float]]) -> tuple[int, float]:
         """The whole value against names that share a token with it: at most one edit in five characters."""
         text = " ".join(tokens)
-        plain = " ".join(t for t in tokens if t not in FILLER and not t.isdigit())
+        plain = " ".join(t for t in tokens if t not in self.filler and not t.isdigit())
         best: tuple[float, str] = (0.0, "")
         for name in {name for like in likes for word in like for name in self.having[word]}:
             most = len(name) // 5
@@ -288,18 +254,71 @@ def reference_names(terms: DataFrame, synonyms: dict[str, dict[str, list[str]]]
     return {field: {k: v[1] for k, v in own.items()} for field, own in named.items()}
 
 
-def map_values(values: DataFrame, terms: DataFrame, *, field: str = "field", value: str = "value", synonyms: dict[str, dict[str, list[str]]] | None = SYNONYMS, least_name: float = 0.74, least_value: float = 0.5, max_names: int = MAX_NAMES) -> DataFrame:
+def _built(shared: dict, kind: str, least_name: float, least_value: float) -> dict[str, FieldIndex]:
+    """The indexes of a broadcast list, built once a worker process: a broadcast value stays with the worker."""
+    key = (kind, least_name, least_value)
+    if key not in shared["built"]:
+        shared["built"][key] = {f: FieldIndex(own, least_name, least_value, shared["filler"]) for f, own in shared["names"].items()}
+    return shared["built"][key]
+
+
+def filler_words(values: DataFrame, names: dict[str, dict[str, int]], *, field: str = "field", value: str = "value") -> DataFrame:
+    """(word, n, n_terms): words that stand beside names of many terms and so say nothing about which is meant.
+
+    Counted over all values that hold a mention. A word is filler if it stands beside FILLER_TERMS terms or more, none
+    of them has more than half of its uses, and it is one in FILLER_WORDS of all such words or more, which bounds how
+    many there are. Counts are combined in each task before they move.
+    """
+    shared = values.sparkSession.sparkContext.broadcast({"names": names, "filler": frozenset(), "built": {}})
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = _built(shared.value, "mentions", 0.0, 0.0)
+        known: dict[tuple[str, str], tuple[int, list[str]]] = {}
+        found: dict[tuple[str, int], int] = {}
+
+        def sent() -> pa.RecordBatch:
+            words, terms = zip(*found, strict=True) if found else ((), ())
+            out = pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array(terms, pa.int64()), pa.array(found.values(), pa.int64())], names=["word", "term", "n"])
+            found.clear()
+            return out
+
+        for batch in batches:
+            for key in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                hit = known.get(key)
+                if hit is None:
+                    own = index.get(key[0])
+                    name, _, rest = own.mentioned(normalise(key[1])) if own and key[1] is not None else ("", 0, [])
+                    hit = known[key] = (own.names[name], sorted(set(rest))) if name and own else (0, [])
+                    if len(known) > 500_000:
+                        known.clear()
+                for word in hit[1]:
+                    found[word, hit[0]] = found.get((word, hit[0]), 0) + 1
+            if len(found) > 200_000:
+                yield sent()
+        yield sent()
+
+    each = values.select(F.col(f"`{field}`"), F.col(f"`{value}`")).mapInArrow(count, "word string, term long, n long").groupBy("word", "term").agg(F.sum("n").alias("n"))
+    words = each.groupBy("word").agg(F.sum("n").alias("n"), F.max("n").alias("_most"), F.count(F.lit(1)).alias("n_terms"))
+    total = durable(words)
+    every = total.agg(F.coalesce(F.sum("n"), F.lit(0))).scalar()
+    return total.filter((F.col("n_terms") >= FILLER_TERMS) & (2 * F.col("_most") <= F.col("n")) & (F.col("n") * FILLER_WORDS >= every)).drop("_most")
+
+
+def map_values(values: DataFrame, terms: DataFrame, *, field: str = "field", value: str = "value", synonyms: dict[str, dict[str, list[str]]] | None = None, least_name: float = 0.68, least_value: float = 0.5, max_names: int = MAX_NAMES) -> DataFrame:
     """values plus term_id (0: nothing on the list), match_by (name, mention, tokens, none) and match_score.
 
     Null field or value, a blank value, and a field without reference terms give term_id 0. Values of any length
     are read whole. Repeated rows stay repeated. Ties go to the higher score, then more matched characters, then
-    the name that sorts last. Columns term_id, match_by and match_score of values are replaced.
+    the name that sorts last. Columns term_id, match_by and match_score of values are replaced. synonyms, field ->
+    term -> names, adds names that the list lacks; without it a value must share words with a name of its term.
     """
     names = reference_names(terms, synonyms, max_names)
+    filler = frozenset(r["word"] for r in filler_words(values, names, field=field, value=value).select("word").collect())
+    shared = values.sparkSession.sparkContext.broadcast({"names": names, "filler": filler, "built": {}})
 
     @F.pandas_udf("term_id long, match_by string, match_score double")
     def resolve(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        index = {f: FieldIndex(own, least_name, least_value) for f, own in names.items()}
+        index = _built(shared.value, "all", least_name, least_value)
         known: dict[tuple[str, str], tuple[int, str, float]] = {}
         for fields, texts in batches:
             out = []
@@ -325,8 +344,10 @@ def typed_values(df: DataFrame, fields: list[str], id_col: str = "rec_id") -> Da
 
 
 def without_exact(values: DataFrame, terms: DataFrame, max_names: int = MAX_NAMES) -> DataFrame:
-    """values whose text is not, character for character, a term of its field."""
-    exact = terms.select("field", F.col("term").alias("value")).distinct().limit(max_names + 1)
+    """values whose text is not, character for character, a term of its field; ValueError for more than max_names terms."""
+    exact = durable(terms.select("field", F.col("term").alias("value")).distinct())
+    if exact.count() > max_names:
+        raise ValueError(f"the reference list has more than {max_names} names")
     return values.join(F.broadcast(exact), ["field", "value"], "left_anti")
 
 
