@@ -45,7 +45,7 @@ def p2_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p2_limits(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read_table(spark, sf_dir, "checklists")
-    return truncation.limits(truncation.long_texts(rows, CUT_FIELDS, "rec_id", "feed")).withColumnRenamed("source", "feed")
+    return truncation.limits(durable(truncation.open_texts(truncation.texts_of(rows, CUT_FIELDS, "rec_id", "feed"), CUT_FIELDS))).withColumnRenamed("source", "feed")
 
 
 TERM_FIELDS = ["pathologies_diseases", "captured_features"]

@@ -1,10 +1,13 @@
 """Find texts that lost their end, and the storage limits that cut them.
 
 Lengths are recomputed as characters, UTF-8 bytes, UTF-16 units, with entities, JSON escapes and two-byte line
-ends; a pile at a length of a source under one of these is a hidden limit. Then endings are inspected:
-an ending is judged by how the same words go on in the whole collection. Contexts of an ending (the last word, the
-last two, three and six, and the frame of function words of its sentence) are looked up among all contexts of all
-texts, counted by how often a sentence ends there and how often it goes on.
+ends; a pile of texts that end no sentence at a length of a source under one of these is a hidden limit. Then endings
+are inspected: an ending is judged by how the same words go on in the whole collection. Contexts of an ending (the last
+word, the last two, three and six, and the frame of function words of its sentence) are looked up among all contexts of
+all texts, counted by how often a sentence ends there and how often it goes on.
+
+Texts are read twice. The first pass keeps, of texts that may have lost their end, lengths and contexts only; the second
+counts the contexts of all texts, but passes on only those that a filter of fixed size says are asked for.
 """
 
 from __future__ import annotations
@@ -16,14 +19,18 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from lectern.operators.skew import lookup
 from lectern.session import durable
 
-#: Ends of a sentence, and what a cut itself leaves behind: ellipsis, replacement character, half an entity, a note.
-FINAL = r"[.!?][\"”')\]»]*$"
-MARK = r"(…|\.\.\.|�|&[A-Za-z]*|&#[0-9]*|\[cut\]|\[truncated\])$"
+#: Ends of a sentence in any script, and the closers that may follow.
+STOPS = ".!?。！？؟۔।॥።"
+CLOSERS = "\"”’')]»」』）"
+FINAL = re.compile(f"[{STOPS}][{re.escape(CLOSERS)}]*$")
+#: What a cut itself leaves behind: ellipsis, replacement character, half an entity, a note.
+MARKS = ("…", "...", "\ufffd", "[cut]", "[truncated]")
+HALF_ENTITY = re.compile(r"&(?:[A-Za-z]*|#[0-9]*)")
 #: Words that make the frame of a sentence.
 FRAME = frozenset(
     "a an the of in on at to for from with without and or but by as than then that this these which who their its is are was "
@@ -32,54 +39,145 @@ FRAME = frozenset(
 )
 #: Contexts of a place in a sentence: name and how many words, 0 for the frame of all words so far.
 KINDS = {"last": 1, "two": 2, "three": 3, "six": 6, "frame": 0}
-#: Lengths a limit may be set on.
-MEASURES = ["chars", "utf8", "utf16", "entities", "json", "crlf"]
+#: Lengths a limit may be set on, with the most units of one character: a cut leaves up to one less unused.
+MEASURES = {"chars": 1, "utf8": 4, "utf16": 2, "entities": 6, "json": 2, "crlf": 2}
 MAX_SOURCES = 100_000
+#: Words of 64 bits in the filter of contexts, at most (8 MB). A fuller filter passes on more contexts and loses none.
+FILTER_WORDS = 1 << 20
 _M = 0x9E3779B97F4A7C15
 _START = np.uint64(0xA0761D6478BD642F)
 
 
-def measures(text: Column) -> Column:
-    """map<measure, length> of a text under the encodings that storage may count by."""
-    chars, octets = F.length(text), F.octet_length(text)
-    held = lambda signs: chars - F.length(F.translate(text, signs, ""))
-    # only a text with bytes to spare can hold characters of two UTF-16 units
-    astral = F.when(octets > chars + 2, chars - F.length(F.regexp_replace(text, r"[\x{10000}-\x{10FFFF}]", ""))).otherwise(0)
-    values = {"chars": chars, "utf8": octets, "utf16": chars + astral, "entities": chars + 4 * held("&") + 3 * held("<>") + 5 * held('"'), "json": chars + held('"\\\n\r\t'), "crlf": chars + held("\n")}
-    return F.create_map(*[x for name, value in values.items() for x in (F.lit(name), value)])
+def lengths(text: str) -> list[int]:
+    """Length of a text under each of MEASURES."""
+    chars, octets = len(text), len(text.encode("utf-8", "replace"))
+    astral = len(text.encode("utf-16-le", "replace")) // 2 - chars if octets > chars + 2 else 0
+    quotes, lines = text.count('"'), text.count("\n")
+    angles = text.count("<") + text.count(">")
+    escaped = quotes + lines + text.count("\\") + text.count("\r") + text.count("\t")
+    return [chars, octets, chars + astral, chars + 4 * text.count("&") + 3 * angles + 5 * quotes, chars + escaped, chars + lines]
+
+
+def is_marked(text: str) -> bool:
+    """Whether a text without blanks at its end ends in what a cut leaves behind."""
+    return text.endswith(MARKS) or ((at := text.rfind("&")) >= 0 and HALF_ENTITY.fullmatch(text, at) is not None)
+
+
+def is_final(text: str) -> bool:
+    """Whether a text without blanks at its end ends a sentence."""
+    return text.rstrip(CLOSERS)[-1:] in tuple(STOPS)
+
+
+def _plainly_final(texts: pa.Array) -> np.ndarray:
+    """Texts that end in a full stop after a letter: neither marked nor in a number. Nulls are not among them."""
+    texts = texts.cast(pa.large_string())
+    if not len(texts) or texts.buffers()[2] is None:
+        return np.zeros(len(texts), bool)
+    offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    data = np.frombuffer(texts.buffers()[2], np.uint8)
+    some = np.diff(offsets) >= 2
+    ends = np.where(some, offsets[1:], 2)
+    if len(data) < 2:
+        return np.zeros(len(texts), bool)
+    last, before = data[ends - 1], data[ends - 2] | 32
+    found = some & ((last == 46) | (last == 33) | (last == 63)) & (before >= 97) & (before <= 122)
+    return found & texts.is_valid().to_numpy(zero_copy_only=False)
 
 
-def long_texts(df: DataFrame, fields: list[str], id_col: str, source: str, record: Column | None = None) -> DataFrame:
-    """(id, source, record, field, text) of every text that is not null or blank; a null source is the source ''.
+def texts_of(df: DataFrame, fields: list[str], id_col: str, source: str, record: Column | None = None) -> DataFrame:
+    """(id, source, record, and one column a field): the rows as they stand; a null source is the source ''.
 
     record is a hash of what the copies of one record share; where that is null, or not given, of the id.
     """
-    same = F.xxhash64(F.col(f"`{id_col}`").cast("string")) if record is None else F.xxhash64(F.coalesce(record.cast("string"), F.col(f"`{id_col}`").cast("string")))
-    pairs = F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f"`{f}`").alias("text")) for f in fields]))
-    return df.select(F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{source}`").cast("string"), F.lit("")).alias("source"), same.alias("record"), pairs.alias("_p")).select("id", "source", "record", "_p.*").filter(F.col("text").rlike(r"(?U)\S"))
+    own = F.col(f"`{id_col}`").cast("string")
+    same = F.xxhash64(own if record is None else F.coalesce(record.cast("string"), own))
+    return df.select(F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{source}`").cast("string"), F.lit("")).alias("source"), same.alias("record"), *[F.col(f"`{f}`").alias(f"_text{i}") for i, f in enumerate(fields)])
 
 
-def limits(texts: DataFrame, *, least: int = 5, least_share: float = 0.005, times: float = 3.0) -> DataFrame:
-    """(field, source, measure, limit, n_at_limit, n): hidden limits, where a length of a source is a pile.
+def open_texts(rows: DataFrame, fields: list[str]) -> DataFrame:
+    """One row a text that may have lost its end: that is marked, ends no sentence, or ends in a number.
 
-    A pile has at least least texts, least_share of the source's, and times as many as each of the ten lengths below on
-    average. At the greatest length every text counts. At any other, where phrases and templates pile as well, only
-    different endings (the last 12 characters, digits alike) of texts that end no sentence do; they must exceed the ten
-    lengths on either side, and by more than chance gives to one of many lengths.
+    (id, source, record, field, key: hash of the text, marked, final, numeric, a length a measure, ending: hash of the last
+    twelve characters with digits alike, a context a kind of the last word). rows come from texts_of.
     """
-    shown = F.right(F.regexp_replace(F.col("text"), r"(?U)\s+$", ""), F.lit(40))
-    ending = F.when(~shown.rlike(MARK) & ~shown.rlike(FINAL), F.xxhash64(F.regexp_replace(F.right(shown, F.lit(12)), "[0-9]", "0")))
-    group = ["field", "source", "measure"]
-    each = texts.select("field", "source", ending.alias("ending"), F.explode(measures(F.col("text"))).alias("measure", "length")).groupBy(*group, "length", "ending").count()
-    counted = each.groupBy(*group, "length").agg(F.sum("count").alias("k"), F.count("ending").alias("open"))
-    # a window holds the distinct lengths of a source, not its texts
-    whole, order = Window.partitionBy(*group), Window.partitionBy(*group).orderBy("length")
-    near = lambda name, lo, hi: F.coalesce(F.sum(name).over(order.rangeBetween(lo, hi)), F.lit(0)) / 10
-    placed = counted.select("*", F.sum("k").over(whole).alias("n"), F.max("length").over(whole).alias("top"), near("k", -10, -1).alias("below"), F.greatest(near("open", -10, -1), near("open", 1, 10)).alias("beside"))
-    enough = lambda name: (F.col(name) >= least) & (F.col(name) >= least_share * F.col("n"))
-    last = (F.col("length") == F.col("top")) & enough("k") & (F.col("k") >= times * F.col("below"))
-    inner = enough("open") & (F.col("open") >= times * F.col("beside")) & (F.col("open") >= F.col("beside") + 6 * F.sqrt("beside") + least)
-    return placed.filter(last | inner).select(*group, F.col("length").alias("limit"), F.col("k").alias("n_at_limit"), "n")
+    kept = dict(rows.dtypes[:3])
+    flags = ["marked", "final", "numeric"]
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = Words()
+        for batch in batches:
+            for number, name in enumerate(fields, 1):
+                column = batch.column(2 + number)
+                at, shown, told = [], [], []
+                rest = np.flatnonzero(~_plainly_final(column))
+                for i, text in zip(rest.tolist(), column.take(pa.array(rest)).to_pylist(), strict=True):
+                    short = text.rstrip() if text else ""
+                    if not short:
+                        continue
+                    marked = is_marked(short)
+                    final = not marked and is_final(short)
+                    numeric = short[-1].isdecimal() or (short[-1] in STOPS and short[-2:-1].isdecimal())
+                    if marked or not final or numeric:
+                        at.append(i)
+                        shown.append(text)
+                        told.append((xxhash.xxh64_intdigest(text) - (1 << 63), marked, final, numeric, xxhash.xxh64_intdigest(re.sub("[0-9]", "0", short[-12:])) - (1 << 63), *lengths(text)))
+                if not at:
+                    continue
+                found, owner, _ = contexts(pa.array(shown, pa.large_string()), np.full(len(at), number), words)
+                tail = np.flatnonzero(np.r_[owner[1:] != owner[:-1], True])
+                place = np.full(len(at), -1)
+                place[owner[tail]] = tail
+                key, marked, final, numeric, ending, *sizes = zip(*told, strict=True)
+                columns = [*(batch.column(i).take(pa.array(at)) for i in range(3)), pa.array([name] * len(at)), pa.array(key, pa.int64()), *(pa.array(x, pa.bool_()) for x in (marked, final, numeric)), pa.array(ending, pa.int64()), *(pa.array(x, pa.int64()) for x in sizes), *(pa.array(h[np.maximum(place, 0)], mask=place < 0) for h in found.values())]
+                yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    names = [*kept, "field", "key", *flags, "ending", *MEASURES, *KINDS]
+    schema = [f"`{c}` {t}" for c, t in kept.items()] + ["field string", "key long", *(f"{x} boolean" for x in flags), "ending long", *(f"`{m}` long" for m in MEASURES), *(f"`{k}` long" for k in KINDS)]
+    return rows.mapInArrow(scan, ", ".join(schema))
+
+
+def limits(found: DataFrame, *, times: float = 3.0, least: int = 5, near: int = 10) -> DataFrame:
+    """(field, source, measure, limit, n_at_limit, n): hidden limits, where a length of a source is a pile of open texts.
+
+    found comes from open_texts. Of unmarked texts that end no sentence, different endings count, so copies, templates
+    and phrases of one length are one. A pile exceeds the near lengths below it, and the same above it, by as much as times
+    their mean, and by more than chance gives to one of many lengths (six standard deviations and least). A text without
+    special characters has one length under all measures, so each text counts for the largest of the piles it lies at (of
+    equal ones for that of the first of MEASURES), and a pile that owes its size to another's texts is none. n_at_limit counts
+    different endings, n those of the source. found should be durable: it is read three times.
+    """
+    # (length, texts) of every measure: sums over lengths, not over texts
+    pairs = F.explode(F.array(*[F.struct(F.lit(i).alias("m"), F.col(name).alias("length")) for i, name in enumerate(MEASURES)]))
+    group = ["field", "source", "m"]
+    each = found.filter("not marked and not final").select("field", "source", "ending", pairs.alias("p")).select("field", "source", "p.m", "p.length", "ending").distinct()
+    counted = each.groupBy(*group, "length").agg(F.count(F.lit(1)).alias("k"))
+    # what lies near a length: every length is sent to its neighbours, so no window holds a source
+    sent = counted.select(*group, F.explode(F.sequence(F.col("length") - near, F.col("length") + near)).alias("at"), "length", "k")
+    side = lambda test: F.sum(F.when(test, F.col("k")).otherwise(0)) / near
+    around = sent.groupBy(*group, F.col("at").alias("length")).agg(F.max(F.when(F.col("length") == F.col("at"), F.col("k"))).alias("k"), F.greatest(side(F.col("length") < F.col("at")), side(F.col("length") > F.col("at"))).alias("beside"))
+    piles = around.filter((F.col("k") >= times * F.col("beside")) & (F.col("k") >= F.col("beside") + 6 * F.sqrt("beside") + least))
+    ordered = F.array_sort(F.collect_list(F.struct((-F.col("k")).alias("_k"), "m", "length", "beside")))
+    lists = _few_sources(durable(piles.groupBy("field", "source").agg(ordered.alias("p"))))
+    # every text goes to the largest pile it lies at; what is left of the others tells whether they are limits of their own
+    texts = found.filter("not marked and not final").join(F.broadcast(lists), ["field", "source"])
+    size = F.array(*[F.col(name) for name in MEASURES])
+    first = F.get(F.filter("p", lambda x: _at(size, x["m"], x["length"])), F.lit(0))
+    own = texts.select("field", "source", "ending", first.alias("x")).filter("x is not null").distinct().groupBy("field", "source", "x").agg(F.count(F.lit(1)).alias("k"))
+    left = own.filter((F.col("k") >= times * F.col("x.beside")) & (F.col("k") >= F.col("x.beside") + 6 * F.sqrt("x.beside") + least))
+    of_source = found.filter("not marked and not final").select("field", "source", "ending").distinct().groupBy("field", "source").agg(F.count(F.lit(1)).alias("n"))
+    return left.join(of_source, ["field", "source"]).select("field", "source", F.element_at(F.array(*map(F.lit, MEASURES)), F.col("x.m") + 1).alias("measure"), F.col("x.length").alias("limit"), F.col("k").alias("n_at_limit"), "n")
+
+
+def _at(sizes: Column, measure: Column, limit: Column) -> Column:
+    """Whether a text of these sizes lies at a limit: at it, or short of it by less than the widest character takes."""
+    return (limit - F.get(sizes, measure)).between(0, F.get(F.array(*map(F.lit, MEASURES.values())), measure) - 1)
+
+
+def _few_sources(piles: DataFrame) -> DataFrame:
+    """piles, one row a field and source; they are sent to every task, so ValueError for more than MAX_SOURCES."""
+    if piles.count() > MAX_SOURCES:
+        raise ValueError(f"more than {MAX_SOURCES} sources with a limit")
+    return piles
 
 
 def _hash(text: str) -> int:
@@ -95,8 +193,8 @@ class Words:
     def of(self, word: str) -> tuple[int, int, bool, bool]:
         found = self.known.get(word)
         if found is None:
-            ends = bool(re.search(FINAL, word)) and not word.endswith("...")
-            base = re.sub(FINAL, "", word) if ends else word
+            ends = bool(FINAL.search(word)) and not word.endswith("...")
+            base = FINAL.sub("", word) if ends else word
             lower = re.sub(r"\d", "0", base.lower())
             if not any(c.isalpha() for c in base):
                 # a number is a number, decimals or not
@@ -160,122 +258,146 @@ def contexts(texts: pa.Array, fields: np.ndarray, words: Words) -> tuple[dict[st
     return out, owner, {"ends": last & ends, "goes_on": ~last, "turns": turns}
 
 
-def context_counts(texts: DataFrame, fields: list[str]) -> DataFrame:
-    """(context, ends, goes_on) of every context of the texts; counted a batch before they move."""
+def context_filter(wanted: DataFrame, column: str = "context", most_words: int = FILTER_WORDS) -> np.ndarray:
+    """A filter of hashes: words of 64 bits, a power of two of them, at most most_words. A hash sets four bits of one word.
+
+    Grown to four hashes a word. Words are made by a bitwise sum in the cluster; at most most_words numbers reach the driver.
+    """
+    count = wanted.count()
+    size = 1 << max(6, min(int(most_words).bit_length() - 1, max(1, -(-count // 4)).bit_length()))
+    h = F.col(column)
+    bit = lambda shift: F.expr(f"shiftleft(1L, cast(shiftrightunsigned(`{column}`, {shift}) & 63 as int))")
+    mask = bit(30).bitwiseOR(bit(36)).bitwiseOR(bit(42)).bitwiseOR(bit(48))
+    rows = wanted.select(h.bitwiseAND(F.lit(size - 1)).alias("w"), mask.alias("b")).groupBy("w").agg(F.bit_or("b").alias("b")).toArrow()
+    out = np.zeros(size, np.uint64)
+    out[rows.column("w").to_numpy()] = rows.column("b").to_numpy().view(np.uint64)
+    return out
+
+
+def passes(filter_words: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Which hashes the filter holds; others pass by chance."""
+    h = hashes.view(np.uint64)
+    held = filter_words[(h & np.uint64(len(filter_words) - 1)).view(np.int64)]
+    mask = np.zeros(len(h), np.uint64)
+    for shift in (30, 36, 42, 48):
+        mask |= np.uint64(1) << ((h >> np.uint64(shift)) & np.uint64(63))
+    return (held & mask) == mask
+
+
+def context_counts(rows: DataFrame, fields: list[str], wanted: np.ndarray) -> DataFrame:
+    """(context, ends, goes_on) of the contexts of all texts that the filter wanted lets through; counted a batch before they move.
+
+    rows come from texts_of. What stands before the mark of a cut is no word, so marked texts are left out.
+    """
+    shared = rows.sparkSession.sparkContext.broadcast(wanted)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Words()
+        words, asked = Words(), shared.value
         for batch in batches:
-            found, _, how = contexts(batch.column(1), batch.column(0).to_numpy(zero_copy_only=False), words)
-            # in a frame, a sentence goes on only where the next word belongs to another part
-            told = {kind: how["ends"] | how["turns" if kind == "frame" else "goes_on"] for kind in found}
-            keys, inverse = np.unique(np.concatenate([h[told[kind]] for kind, h in found.items()]), return_inverse=True)
-            ended = np.bincount(inverse, np.concatenate([how["ends"][told[kind]] for kind in found]), len(keys)).astype(np.int64)
+            kept, ended = [], []
+            for number in range(1, len(fields) + 1):
+                column = batch.column(number - 1)
+                use = _plainly_final(column)
+                rest = np.flatnonzero(~use)
+                use[rest] = [bool(x) and not is_marked(x.rstrip()) for x in column.take(pa.array(rest)).to_pylist()]
+                found, _, how = contexts(column.filter(pa.array(use)), np.full(int(use.sum()), number), words)
+                for kind, hashes in found.items():
+                    # in a frame, a sentence goes on only where the next word belongs to another part
+                    told = passes(asked, hashes) & (how["ends"] | how["turns" if kind == "frame" else "goes_on"])
+                    kept.append(hashes[told])
+                    ended.append(how["ends"][told])
+            keys, inverse = np.unique(np.concatenate(kept), return_inverse=True)
+            stops = np.bincount(inverse, np.concatenate(ended), len(keys)).astype(np.int64)
             total = np.bincount(inverse, minlength=len(keys))
-            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(ended), pa.array(total - ended)], names=["context", "ends", "goes_on"])
-
-    number = F.array_position(F.array(*map(F.lit, fields)), F.col("field")).cast("int")
-    return texts.select(number.alias("f"), "text").mapInArrow(count, "context long, ends long, goes_on long").groupBy("context").agg(*[F.sum(c).alias(c) for c in ("ends", "goes_on")])
+            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(stops), pa.array(total - stops)], names=["context", "ends", "goes_on"])
 
+    texts = rows.select(*[f"_text{i}" for i in range(len(fields))])
+    return texts.mapInArrow(count, "context long, ends long, goes_on long").groupBy("context").agg(*[F.sum(c).alias(c) for c in ("ends", "goes_on")])
 
-def ending_contexts(texts: DataFrame, fields: list[str]) -> DataFrame:
-    """texts without their last column, text, plus one column of context hash a kind for the last word."""
-    kinds = dict(texts.dtypes[:-1])
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Words()
-        for batch in batches:
-            found, owner, _ = contexts(batch.column(batch.num_columns - 2), batch.column(batch.num_columns - 1).to_numpy(zero_copy_only=False), words)
-            tail = np.flatnonzero(np.r_[owner[1:] != owner[:-1], True]) if len(owner) else np.zeros(0, int)
-            place = np.full(batch.num_rows, -1)
-            place[owner[tail]] = tail
-            columns = [pa.array(h[np.maximum(place, 0)] if len(h) else np.zeros(batch.num_rows, np.int64), mask=place < 0) for h in found.values()]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-2], *columns], names=[*batch.schema.names[:-2], *found])
 
-    number = F.array_position(F.array(*map(F.lit, fields)), F.col("field")).cast("int")
-    schema = ", ".join([f"`{c}` {t}" for c, t in kinds.items()] + [f"`{k}` long" for k in KINDS])
-    return texts.select("*", number.alias("_f")).mapInArrow(add, schema)
+def _sure(count: Column, total: Column, share: float) -> Column:
+    """Whether count is share of total or more, with two standard deviations to spare: one rule at every size."""
+    return count - 2 * F.sqrt(count.cast("double")) >= share * total
 
 
-def _support(rows: DataFrame, keys: list[str], name: str) -> DataFrame:
-    """(keys, name, spread): how many records the rows of each key come from, and whether from more than one source; copies count once."""
-    once = rows.groupBy(*keys, "record").agg(F.min(F.xxhash64("source")).alias("_lo"), F.max(F.xxhash64("source")).alias("_hi"))
-    return once.groupBy(*keys).agg(F.count(F.lit(1)).alias(name), (F.min("_lo") < F.max("_hi")).alias("spread"))
-
-
-def _whole(stat: dict[str, dict[str, Column]], often: Column, one_source: Column) -> Column:
+def _whole(stat: dict[str, dict[str, Column]], total: Column, share: float, one_source: Column) -> Column:
     """Whether an ending without a mark is a whole text's, from what happens at its contexts elsewhere.
 
-    often: of how many records the stops tell of a habit; one_source: whether there is but one source to show it.
+    total and share: of how many open texts of the field the stops must make up how much to tell of a habit; one_source:
+    whether there is but one source to show it.
     """
     n = {k: s["ends"] + s["goes_on"] for k, s in stat.items()}
-    share = {k: s["ends"] / F.greatest(n[k], F.lit(1)) for k, s in stat.items()}
-    habit = (stat["three"]["spread"] | one_source) & (stat["three"]["stops"] >= often) & (stat["three"]["ends"] + stat["three"]["stops"] >= stat["three"]["goes_on"])
+    rate = {k: s["ends"] / F.greatest(n[k], F.lit(1)) for k, s in stat.items()}
+    habit = (stat["three"]["spread"] | one_source) & _sure(stat["three"]["stops"], total, share) & (stat["three"]["ends"] + stat["three"]["stops"] >= stat["three"]["goes_on"])
     return (
-        F.when((n["last"] < 1) & (stat["last"]["stops"] < F.greatest(F.lit(2), often / 4)), False)
+        F.when((n["last"] < 1) & ~_sure(stat["last"]["stops"], total, share), False)
         .when(habit, True)
         .when(F.col("numeric") & (n["two"] < 1), False)
         .when((n["two"] < 1) & (n["three"] < 1), False)
-        .when((n["two"] >= 3) & (share["two"] == 0), False)
-        .when((n["three"] >= 3) & (share["three"] == 0), False)
-        .when(n["frame"] >= 4, share["frame"] >= 0.5)
-        .when(n["six"] >= 2, share["six"] >= 0.5)
-        .when(n["three"] >= 2, share["three"] >= 0.5)
-        .when(n["two"] >= 2, share["two"] >= 0.5)
-        .otherwise((n["last"] >= 1) & (share["last"] >= 0.5))
+        .when((n["two"] >= 3) & (rate["two"] == 0), False)
+        .when((n["three"] >= 3) & (rate["three"] == 0), False)
+        .when(n["frame"] >= 4, rate["frame"] >= 0.5)
+        .when(n["six"] >= 2, rate["six"] >= 0.5)
+        .when(n["three"] >= 2, rate["three"] >= 0.5)
+        .when(n["two"] >= 2, rate["two"] >= 0.5)
+        .otherwise((n["last"] >= 1) & (rate["last"] >= 0.5))
     )
 
 
-def truncated(df: DataFrame, fields: list[str], *, id_col: str = "rec_id", source: str = "feed", record: Column | None = None, phrase_share: float = 0.002, least_phrase: int = 5) -> DataFrame:
+def _support(rows: DataFrame, keys: list[str], **counts: Column) -> DataFrame:
+    """(keys, counts, spread) over the records of each key, whose copies count once: of counts, a maximum a record, summed."""
+    once = rows.groupBy(*keys, "record").agg(*[F.max(c).alias(name) for name, c in counts.items()], F.count(F.lit(1)).alias("_uses"), F.min(F.xxhash64("source")).alias("_lo"), F.max(F.xxhash64("source")).alias("_hi"))
+    return once.groupBy(*keys).agg(*[F.sum(name).alias(name) for name in counts], F.sum("_uses").alias("uses"), (F.min("_lo") < F.max("_hi")).alias("spread"))
+
+
+def truncated(df: DataFrame, fields: list[str], *, id_col: str = "rec_id", source: str = "feed", record: Column | None = None, share: float = 0.005) -> DataFrame:
     """(id, source, field, cause) of each text that lost its end; cause is mark, limit or ending.
 
-    A text with a mark of a cut (MARK) is truncated. A text that ends a sentence is whole, unless it ends in a
-    number and such numbers go on elsewhere. Of the others, a text at a hidden limit of its source is truncated;
-    one that so many records hold as make up phrase_share of all texts of its field (at least least_phrase) is a
-    phrase and whole; the rest is judged by contexts over the whole collection. Copies of a record (rows alike in
-    record; each id is one without it) count once, as does a text that comes with it again; neither a phrase nor a
-    habit rests on one source where there are more, so copies of a damaged record are judged by their ending. Null and blank texts are no case; long texts
-    are read whole; rows that repeat are reported as often as they come; an empty table gives no rows.
+    A text with a mark of a cut (MARKS) is truncated. A text that ends a sentence is whole, unless it ends in a
+    number and such numbers go on elsewhere. Of the others, a text at a hidden limit of its source, or short of it by less
+    than the widest character takes, is truncated; one that records of several sources hold as a share of the open texts of
+    its field (beyond doubt: see _sure) is a phrase and whole; the rest is judged by contexts over the whole collection.
+    Copies of a record (rows alike in record; each id is one without it) count once, as does a text that comes with it
+    again; neither a phrase nor a habit rests on one source where there are more, so copies of a damaged record are judged
+    by their ending. Null and blank texts are no case; long texts are read whole; rows that repeat are reported as often as
+    they come; an empty table gives no rows.
     """
-    texts = long_texts(df, fields, id_col, source, record)
-    piles = durable(limits(texts).groupBy("field", "source").agg(F.collect_list(F.struct("measure", "limit")).alias("limits")))
-    if piles.count() > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources with a limit")
-    total = durable(_support(texts.select("field", "source", "record", F.xxhash64("text").alias("key")), ["field", "key"], "n").groupBy("field").agg(F.sum("n").alias("n")).join(texts.groupBy("field").agg((F.min("source") == F.max("source")).alias("one_source")), "field"))
-    shown = F.regexp_replace(F.col("text"), r"(?U)\s+$", "")
-    open_ = texts.withColumn("_s", F.right(shown, F.lit(40))).select("*", F.col("_s").rlike(MARK).alias("marked"), F.col("_s").rlike(FINAL).alias("_f"), F.col("_s").rlike(r"[0-9][.!?]?$").alias("numeric")).withColumn("final", F.col("_f") & ~F.col("marked")).drop("_s", "_f")
-    placed = open_.filter("marked or not final or numeric").join(F.broadcast(piles), ["field", "source"], "left").withColumn("_m", measures(F.col("text")))
-    at_limit = F.exists("limits", lambda e: F.element_at(F.col("_m"), e["measure"]) == e["limit"])
-    judged = placed.withColumn("cause", F.when(F.col("marked"), "mark").when(~F.col("final") & F.coalesce(at_limit, F.lit(False)), "limit"))
-    # from here on a text is a hash and the contexts of its last word
-    kept = durable(ending_contexts(judged.select("id", "source", "record", "field", "cause", "final", "numeric", F.xxhash64("text").alias("key"), "text"), fields))
-    sure = kept.filter("cause is not null").select("id", "source", "field", "cause")
-    # texts that many records share are phrases; at most 1 / phrase_share a field, so they go to every task
-    phrases = _support(kept.filter("cause is null and not final"), ["field", "key"], "k").join(F.broadcast(total), "field").filter((F.col("spread") | F.col("one_source")) & (F.col("k") >= least_phrase) & (F.col("k") >= phrase_share * F.col("n"))).select("field", "key").orderBy("field", "key").limit(int(len(fields) / phrase_share) + 1)
-    tails = kept.filter("cause is null").drop("cause").join(F.broadcast(phrases), ["field", "key"], "left_anti")
+    rows = texts_of(df, fields, id_col, source, record)
+    kept = durable(open_texts(rows, fields))
+    number = F.array_position(F.array(*map(F.lit, MEASURES)), F.col("measure")).cast("int") - 1
+    piles = _few_sources(durable(limits(kept).groupBy("field", "source").agg(F.collect_list(F.struct(number.alias("m"), "limit")).alias("limits"))))
+    # texts that many records share are phrases; at most 1 / share a field, so they go to every task
+    shared = durable(_support(kept.filter("not marked and not final"), ["field", "key"], k=F.lit(1)))
+    total = durable(shared.groupBy("field").agg(F.sum("k").alias("n")).join(kept.groupBy("field").agg((F.min("source") == F.max("source")).alias("one_source")), "field", "right").fillna(0, ["n"]))
+    phrases = shared.join(F.broadcast(total), "field").filter((F.col("spread") | F.col("one_source")) & _sure(F.col("k"), F.col("n"), share)).select("field", "key", F.lit(True).alias("phrase"))
+    sizes = F.array(*[F.col(m) for m in MEASURES])
+    at_limit = F.exists("limits", lambda e: _at(sizes, e["m"], e["limit"]))
+    judged = kept.join(F.broadcast(piles), ["field", "source"], "left").join(F.broadcast(phrases), ["field", "key"], "left")
+    judged = judged.withColumn("cause", F.when(F.col("marked"), "mark").when(~F.col("final") & F.coalesce(at_limit, F.lit(False)), "limit").when(~F.col("final") & F.col("phrase"), "none"))
+    sure = judged.filter("cause in ('mark', 'limit')").select("id", "source", "field", "cause")
     by_kind = F.explode(F.map_from_arrays(F.array(*map(F.lit, KINDS)), F.array(*KINDS))).alias("kind", "context")
-    each = tails.select("id", "source", "field", "key", "final", "numeric", by_kind)
-    wanted = each.groupBy("context").agg(F.count(F.lit(1)).alias("uses"))
-    # what stands before the mark of a cut is no word
-    counts = context_counts(texts.filter(~shown.rlike(MARK)), fields)
-    stops = _support(kept.filter("not final and not cause <=> 'mark'").select("source", "record", by_kind), ["context"], "stops")
-    stats = wanted.join(counts, "context", "left").join(stops, "context", "left")
-    met = lookup(each, stats, ["context"], ["ends", "stops", "goes_on", "spread"], "uses")
+    unmarked = judged.filter("not marked").select("id", "source", "record", "field", "key", "final", "numeric", F.col("cause").isNull().alias("asked"), by_kind)
+    used = _support(unmarked, ["context"], stops=F.when(F.col("final"), 0).otherwise(1), asked=F.col("asked").cast("int"))
+    wanted = durable(used.filter("asked > 0").select("context", "stops", "spread", "uses"))
+    counts = context_counts(rows, fields, context_filter(wanted))
+    stats = durable(wanted.join(counts, "context", "left"))
+    met = lookup(unmarked.filter("asked").drop("asked", "record"), stats, ["context"], ["ends", "stops", "goes_on", "spread"], "uses")
     # an ending has counted itself once, and its record once
     own = {"ends": F.col("final").cast("int"), "stops": (~F.col("final")).cast("int"), "goes_on": F.lit(0)}
     value = lambda kind, name: F.max(F.when(F.col("kind") == kind, F.coalesce(F.col(name), F.lit(0)) - own[name])).alias(name)
     wide = met.groupBy("id", "source", "field", "key", "final", "numeric").agg(F.count(F.when(F.col("kind") == "last", 1)).alias("times"), *[F.struct(*[value(k, name) for name in own], F.bool_or((F.col("kind") == k) & F.coalesce("spread", F.lit(False))).alias("spread")).alias(k) for k in KINDS])
     stat = {k: {name: F.col(f"{k}.{name}") for name in [*own, "spread"]} for k in KINDS}
     wide = wide.join(F.broadcast(total), "field")
-    often = F.greatest(F.lit(least_phrase), phrase_share / 2 * F.col("n"))
     number_goes_on = (stat["three"]["goes_on"] > 9 * stat["three"]["ends"]) & (stat["three"]["goes_on"] >= 3)
-    lost = wide.filter(F.when(F.col("final"), F.coalesce(number_goes_on, F.lit(False))).otherwise(~_whole(stat, often, F.col("one_source"))))
+    lost = wide.filter(F.when(F.col("final"), F.coalesce(number_goes_on, F.lit(False))).otherwise(~_whole(stat, F.col("n"), share, F.col("one_source"))))
     by_ending = lost.select("id", "source", "field", F.lit("ending").alias("cause"), F.explode(F.sequence(F.lit(1).cast("long"), F.col("times"))).alias("_n")).drop("_n")
     return sure.unionByName(by_ending)
 
 
 def shares(df: DataFrame, found: DataFrame, fields: list[str], *, id_col: str = "rec_id", source: str = "feed") -> DataFrame:
-    """(source, field, n, n_truncated, share): how often each source truncates each field."""
-    every = long_texts(df, fields, id_col, source).groupBy("source", "field").agg(F.count(F.lit(1)).alias("n"))
+    """(source, field, n, n_truncated, share): how often each source truncates each field; blank texts do not count."""
+    name = F.coalesce(F.col(f"`{source}`").cast("string"), F.lit(""))
+    held = df.groupBy(name.alias("source")).agg(*[F.count_if(F.col(f"`{f}`").rlike(r"(?U)\S")).alias(f"_n{i}") for i, f in enumerate(fields)])
+    every = held.select("source", F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f"_n{i}").alias("n")) for i, f in enumerate(fields)])).alias("e")).select("source", "e.*").filter("n > 0")
     cut = found.groupBy("source", "field").agg(F.count(F.lit(1)).alias("n_truncated"))
     return every.join(cut, ["source", "field"], "left").fillna(0, ["n_truncated"]).withColumn("share", F.col("n_truncated") / F.col("n"))

@@ -29,6 +29,11 @@ def found(spark, rows, fields=("body",)):
     return {(r.id, r.cause) for r in truncation.truncated(df, list(fields)).collect()}
 
 
+def limits_of(spark, rows):
+    texts = truncation.texts_of(spark.createDataFrame(rows, DDL), ["body"], "rec_id", "feed")
+    return {(x.source, x.measure, x.limit) for x in truncation.limits(truncation.open_texts(texts, ["body"])).collect()}
+
+
 def test_cut_texts_are_found_and_whole_ones_are_not(spark):
     texts = whole_texts(1200)
     rows = [(i, "good", t) for i, t in enumerate(texts)]
@@ -62,18 +67,15 @@ def test_hidden_limits_by_encoding(spark):
                 body = body[:at]
                 break
         rows.append((i, "json", body))
-    texts = truncation.long_texts(spark.createDataFrame(rows, DDL), ["body"], "rec_id", "feed")
-    got = {(x.source, x.measure, x.limit) for x in truncation.limits(texts).collect()}
-    assert ("chars", "chars", 100) in got and ("bytes", "utf8", 90) in got and ("json", "json", 80) in got
-    assert not [x for x in got if x[0] == "free"]
+    # one row a limit, under the measure that names it
+    assert limits_of(spark, rows) == {("chars", "chars", 100), ("bytes", "utf8", 90), ("json", "json", 80)}
 
 
-def test_lengths_are_exact(spark):
+def test_lengths_are_exact():
     import json
 
     for text in ("plain", 'a"b\\c\nd\te', "é&<>", "😀x", ""):
-        row = spark.createDataFrame([(text,)], "t string").select(truncation.measures(truncation.F.col("t")).alias("m")).first().m
-        assert row == {"chars": len(text), "utf8": len(text.encode()), "utf16": len(text.encode("utf-16-le")) // 2, "entities": len(text) + 4 * text.count("&") + 3 * text.count("<") + 3 * text.count(">") + 5 * text.count('"'), "json": len(json.dumps(text, ensure_ascii=False)) - 2, "crlf": len(text) + text.count("\n")}
+        assert dict(zip(truncation.MEASURES, truncation.lengths(text), strict=True)) == {"chars": len(text), "utf8": len(text.encode()), "utf16": len(text.encode("utf-16-le")) // 2, "entities": len(text) + 4 * text.count("&") + 3 * text.count("<") + 3 * text.count(">") + 5 * text.count('"'), "json": len(json.dumps(text, ensure_ascii=False)) - 2, "crlf": len(text) + text.count("\n")}
 
 
 def test_texts_at_a_limit(spark):
@@ -135,8 +137,63 @@ def test_limits_below_the_greatest_length(spark):
     # two stores behind one feed, and one text longer than both; templates and phrases of one length are no limit
     rows = [(i, "f", t[:120] if i < half else t[:150]) for i, t in enumerate(texts)] + [(7000, "f", texts[0])]
     rows += [(8000 + i, "g", f"Raw files are archived (GSE{90000000 + i})") for i in range(60)] + [(8500 + i, "g", "Not stated") for i in range(60)] + [(9000 + i, "g", t) for i, t in enumerate(whole_texts(400, seed=3))]
-    df = spark.createDataFrame(rows, DDL)
-    got = {(r.source, r.limit) for r in truncation.limits(truncation.long_texts(df, ["body"], "rec_id", "feed")).filter("measure = 'chars'").collect()}
-    assert got == {("f", 120), ("f", 150)}
+    assert limits_of(spark, rows) == {("f", "chars", 120), ("f", "chars", 150)}
     lost = {i for i, t in enumerate(texts) if (t[:120] if i < half else t[:150])[-1] not in ".!?"}
     assert lost <= {i for i, cause in found(spark, rows) if cause == "limit"}
+
+
+def test_a_longer_row_a_feed_hides_no_limit(spark):
+    texts = [t for t in whole_texts(1200) if len(t) > 150]
+    rows = [(i, f"f{i % 3}", t[: 120 + 10 * (i % 3)]) for i, t in enumerate(texts)] + [(5000 + i, f"f{i}", t + " " + t) for i, t in enumerate(texts[:3])]
+    assert limits_of(spark, rows) == {("f0", "chars", 120), ("f1", "chars", 130), ("f2", "chars", 140)}
+
+
+def test_cuts_before_a_wide_character(spark):
+    """A text one to three bytes short of its limit, as the next character did not fit, is at the limit."""
+    texts = [t.replace("asthma", "âsthmä") for t in whole_texts(2500) if len(t) > 150]
+    cut = [t.encode()[:121].decode(errors="ignore") for t in texts]
+    got = found(spark, [(i, "f", t) for i, t in enumerate(cut)])
+    short = [i for i, t in enumerate(cut) if len(t.encode()) == 120 and t[-1] not in ".!?"]
+    assert len(short) > 5 and {(i, "limit") for i in short} <= got
+
+
+def test_repeated_tables_give_the_same_limits_and_phrases(spark):
+    texts = whole_texts(700)
+    rows = [(i, f"f{i % 3}", t[:110] if i % 3 == 1 else t, f"PMC{i}") for i, t in enumerate(texts)]
+    rows += [(1000 + i, f"f{i % 3}", "Not stated", f"PMC{1000 + i}") for i in range(30)] + [(2000 + i, "f0", t[:50], f"PMC{2000 + i}") for i, t in enumerate(whole_texts(40, seed=5))]
+    many = [(i + 10_000 * n, *rest) for n in range(10) for i, *rest in rows]
+    one, ten = ({(r.id % 10_000, r.cause) for r in truncation.truncated(spark.createDataFrame(x, f"{DDL}, paper string"), ["body"], record=truncation.F.col("paper")).collect()} for x in (rows, many))
+    at_limit = lambda got: {i for i, cause in got if cause == "limit"}
+    assert at_limit(one) == at_limit(ten) and len(at_limit(one)) > 50
+    assert not {i for i, _ in one | ten} & set(range(1000, 1030))
+
+
+def test_ends_of_other_scripts_and_long_closers(spark):
+    texts = ["研究对象为儿童。", "क्या यह सच है।", "هل هذا صحيح؟", 'He said "so.' + '"' * 60, "So it is.」"]
+    assert not found(spark, [(i, "f", t) for i, t in enumerate(texts)])
+
+
+def test_the_filter_loses_nothing(spark):
+    import numpy as np
+
+    r = random.Random(9)
+    held = [r.randrange(-(1 << 63), 1 << 63) for _ in range(3000)]
+    other = np.array([r.randrange(-(1 << 63), 1 << 63) for _ in range(20_000)], np.int64)
+    df = spark.createDataFrame([(x,) for x in held], "context long")
+    for most in (1 << 20, 64):
+        made = truncation.context_filter(df, most_words=most)
+        assert len(made) <= most and truncation.passes(made, np.array(held, np.int64)).all()
+    assert truncation.passes(truncation.context_filter(df), other).mean() < 0.05
+
+
+def test_contexts_are_counted_as_by_hand(spark):
+    """The counts that pass the filter against a plain count of the last word."""
+    texts = whole_texts(100)
+    df = spark.createDataFrame([(i, "f", t) for i, t in enumerate(texts)], DDL)
+    rows = truncation.texts_of(df, ["body"], "rec_id", "feed")
+    everything = truncation.np.full(64, (1 << 64) - 1, truncation.np.uint64)
+    counted = {r.context: (r.ends, r.goes_on) for r in truncation.context_counts(rows, ["body"], everything).collect()}
+    probe = spark.createDataFrame([(0, "f", "among children in four river")], DDL)
+    last = truncation.open_texts(truncation.texts_of(probe, ["body"], "rec_id", "feed"), ["body"]).first()["last"]
+    words = [w for t in texts for w in t.split()]
+    assert counted[last] == (0, words.count("river")) and words.count("river") > 0
