@@ -56,14 +56,15 @@ def documents(spark):
 
 
 def test_labels(spark):
-    rows = ["en", " EN ", "eng", "English", "en-GB", "en_US", "Deutsch", "dut", "xx", "und", "-", "", None, "unknown"]
+    rows = ["en", " EN ", "eng", "English", "en-GB", "en_US", "Deutsch", "dut", "xx", "und", "-", "", None, "unknown", "fa", "nb", "bn", "th", "sr-Latn", "Norwegian (Bokmål)", "per", "العربية", "kat", "mul", "zxx"]
     got = [r[0] for r in spark.createDataFrame([(x,) for x in rows], "l string").select(language.label_code(F.col("l"))).collect()]
-    assert got == ["en"] * 6 + ["de", "nl"] + [None] * 6
+    assert got == ["en"] * 6 + ["de", "nl"] + [None] * 6 + ["fa", "no", "bn", "th", "sr", "no", "fa", "ar", "ka", None, None]
+    assert 180 <= len({c for c in language.language_names().values()}) <= 190
 
 
 def test_documents_and_stretches(spark, documents):
     model = language.fitted(documents, label="label")
-    assert model.languages == ["de", "en", "ru"]
+    assert model.model.languages == ["de", "en", "ru"]
     labelled = language.identify(documents, model, keep=["label"]).cache()
     by = {r.doc_id: r for r in labelled.collect()}
     assert [by[i].lang for i in (900, 901, 902, 903, 904, 905, 906, 908)] == ["en", "en", "de", "de", "ru", None, None, "en"]
@@ -80,12 +81,51 @@ def test_documents_and_stretches(spark, documents):
 
 def test_a_wrong_language_is_not_learnt(spark, documents):
     odd = documents.filter("doc_id < 30").limit(6).withColumn("label", F.lit("pl"))
-    assert language.fitted(documents.unionByName(odd), label="label").languages == ["de", "en", "ru"]
+    assert language.fitted(documents.unionByName(odd), label="label").model.languages == ["de", "en", "ru"]
+
+
+PL = "W badaniu oceniano związek między zanieczyszczeniem powietrza a astmą u dzieci mieszkających w dużych miastach. Wyniki wskazują na istotny wzrost ryzyka."
+FA = "این مطالعه رابطه بین آلودگی هوا و آسم را در کودکان شهرهای بزرگ بررسی کرد. نتایج نشان داد که خطر افزایش یافته است."
+NB = "Studien undersøkte sammenhengen mellom luftforurensning og astma hos barn som bor i store byer. Resultatene tyder på en økt risiko for sykdom."
+
+
+@pytest.fixture(scope="module")
+def corpus(spark, data):
+    from pathlib import Path
+
+    larger = Path(data).parent / "sf0.01" / "documents.parquet"
+    return spark.read.parquet(str(larger if larger.exists() else Path(data) / "documents.parquet")).withColumnRenamed("lang", "label")
+
+
+def test_texts_in_no_known_language(spark, corpus):
+    fit = language.fitted(corpus, label="label")
+    probes = [(1, PL, "pl"), (2, FA, "fa"), (3, NB, "nb"), (4, PL, None), (5, FA * 50, "fa"), (6, "xq zzkp wvvw qpl mmnt rrtx kkwq zpzp vxvx qqlm zzkp wvvw", "la")]
+    got = language.identify(spark.createDataFrame(probes, "doc_id long, text string, label string"), fit, keep=["label"])
+    assert {(r.lang, r.confidence) for r in got.collect()} == {("und", 0.0)}
+    assert language.mislabelled(got, "label").count() == 0
+    # a text of the corpus is never unknown, and one with a strange sentence keeps its language
+    assert language.identify(corpus, fit).filter("lang = 'und'").count() == 0
+    mixed = corpus.filter("label = 'en' and n_chars > 1500").limit(1).withColumn("text", F.concat("text", F.lit(" " + FA)))
+    row = language.identify(mixed, fit).first()
+    assert row.lang == "en" and {s.lang for s in row.segments} >= {"en", "und"}
+
+
+def test_confidence_is_right_as_often_as_it_says(spark, corpus):
+    """Held-out sentences, alone: by tenths of confidence, how often the language is that of the text around."""
+    half = F.xxhash64("doc_id") % 2 == 0
+    fit = language.fitted(corpus.filter(half), label="label")
+    clean = language.identify(corpus.filter(~half), fit, keep=["text", "label"]).filter(language.label_code(F.col("label")) == F.col("lang")).filter("size(segments) = 1")
+    alone = clean.select("doc_id", F.col("lang").alias("right"), F.explode(F.split("text", r"(?<=[.!?])\s+")).alias("text")).filter("length(text) between 4 and 200").withColumn("doc_id", F.monotonically_increasing_id())
+    got = language.identify(alone, fit, keep=["right"]).filter("lang is not null and lang <> 'und'").select(F.floor(F.col("confidence") * 10).alias("b"), "confidence", (F.col("lang") == F.col("right")).cast("int").alias("ok"))
+    bins = got.groupBy("b").agg(F.count("*").alias("n"), F.avg("confidence").alias("c"), F.avg("ok").alias("a")).collect()
+    error = sum(r.n * abs(r.c - r.a) for r in bins) / sum(r.n for r in bins)
+    print("expected calibration error", round(error, 4))
+    assert error < 0.03
 
 
 def test_no_labels_and_empty_tables(spark, documents):
     none = language.fitted(documents.withColumn("label", F.lit(None).cast("string")), label="label")
-    assert none.languages == []
+    assert none.model.languages == []
     got = language.identify(documents, none)
     assert got.filter("lang is not null").count() == 0 and got.count() == documents.count()
     model = language.fitted(documents, label="label")
