@@ -3,7 +3,8 @@
 Each task reads its records in order and keeps one counter a term: occurrences, records and the last record
 seen. A term met again in the same record adds an occurrence but no record, so no set of terms is kept for any
 record. The counters of the tasks are hash-partitioned by term and added up, so a term that fills a third of all
-rows reaches the shuffle as one row a task.
+rows reaches the shuffle as one row a task. Where rows of a record may lie apart, counters of (term, record) are
+added up first, so a record that fills a third of all rows is spread over its terms.
 """
 
 from __future__ import annotations
@@ -68,17 +69,16 @@ def term_counts(df: DataFrame, fields: list[str], *, record_col: str | None = No
     rows. Other columns, whatever their names, are not read.
     """
     kinds = dict(df.dtypes)
-    lists = [F.filter(F.transform(F.col(f"`{f}`") if kinds[f].startswith("array") else F.array(F.col(f"`{f}`")), tidy), lambda x: x != "").alias(f"_f{i}") for i, f in enumerate(fields)]
-    if record_col is None:
-        rows = df.select(F.lit(None).cast("long").alias("_r"), *lists)
-    else:
-        rows = df.select(F.xxhash64(F.col(f"`{record_col}`").cast("string")).alias("_r"), F.col(f"`{record_col}`").cast("string").alias("_k"), *lists)
-        rows = rows.repartition("_k").sortWithinPartitions("_k").drop("_k")
-    keyed = record_col is not None
+    lists = [F.filter(F.transform(F.col(f"`{f}`") if kinds[f].startswith("array") else F.array(F.col(f"`{f}`")), tidy), lambda x: x != "") for f in fields]
+    if record_col is not None:
+        told = df.select(F.col(f"`{record_col}`").cast("string").alias("_k"), F.explode(F.array(*[F.struct(F.lit(f).alias("field"), column.alias("terms")) for f, column in zip(fields, lists, strict=True)])).alias("_p"))
+        each = told.select("_k", "_p.field", F.explode("_p.terms").alias("term")).groupBy("field", "term", "_k").agg(F.count(F.lit(1)).alias("n"))
+        return each.groupBy("field", "term").agg(F.sum("n").alias("occurrences"), F.count(F.lit(1)).alias("n_records"))
+    rows = df.select(F.lit(0).alias("_r"), *[column.alias(f"_f{i}") for i, column in enumerate(lists)])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counters = [LastSeen() for _ in fields]
-        done, before = 0, None
+        done = 0
 
         def passed_on() -> Iterator[pa.RecordBatch]:
             for name, own in zip(fields, counters, strict=True):
@@ -89,13 +89,7 @@ def term_counts(df: DataFrame, fields: list[str], *, record_col: str | None = No
         for batch in batches:
             if not batch.num_rows:
                 continue
-            if keyed:
-                keys = batch.column(0).to_numpy(zero_copy_only=False)
-                changed = np.r_[before is None or keys[0] != before, keys[1:] != keys[:-1]]
-                numbers = done + np.cumsum(changed)
-                before = keys[-1]
-            else:
-                numbers = done + 1 + np.arange(batch.num_rows)
+            numbers = done + 1 + np.arange(batch.num_rows)
             done = int(numbers[-1])
             for i, own in enumerate(counters):
                 column = batch.column(i + 1)

@@ -63,14 +63,14 @@ def budgets(queue: DataFrame, targets: DataFrame, total_tokens: int | None = Non
 def mixed(queue: DataFrame, budget: DataFrame) -> DataFrame:
     """(mix_name, source, id, turn, tokens, finish): the draws of every mix in order; turn counts the passes over a source from 1.
 
-    Draws are range-sorted by mix and finish time and a mix ends where its running sum reaches the budget; the draw
-    that straddles the budget is in when its greater part is. No source is drawn from beyond its share of the
+    Draws are range-sorted by mix and finish time and a mix ends before the draw by which its running sum would exceed
+    the budget. No source is drawn from beyond its share of the
     budget but for a draw that began before, so what a source lacks for a given total isn't made up by others.
-    The targets are few and go to every task; their number is bounded by sources times mixes.
+    The targets, one row a source and mix, are few and go to every task; turns are made after the join.
     """
     turns = budget.filter("source_tokens > 0").withColumn("last", F.least(F.col("max_repeats"), F.ceil(F.col("budget") * F.col("target_share") / F.col("source_tokens")))).filter("last > 0")
-    plan = turns.select("mix_name", "source", "target_share", "source_tokens", "budget", F.explode(F.sequence(F.lit(1).cast("long"), F.col("last"))).alias("turn"))
-    drawn = queue.join(F.broadcast(plan), "source")
+    plan = turns.select("mix_name", "source", "target_share", "source_tokens", "budget", "last")
+    drawn = queue.join(F.broadcast(plan), "source").withColumn("turn", F.explode(F.sequence(F.lit(1).cast("long"), F.col("last"))))
     finish = ((F.col("turn") - 1) * F.col("source_tokens") + F.col("so_far")) / F.col("target_share")
     begun = drawn.withColumn("finish", finish).filter(F.col("finish") - F.col("tokens") / F.col("target_share") < F.col("budget"))
     return _cut(in_order(begun.select("mix_name", "source", "id", F.col("turn").cast("int").alias("turn"), "tokens", "finish")), budget)
@@ -85,7 +85,7 @@ def _cut(ordered: DataFrame, budget: DataFrame) -> DataFrame:
     sizes = durable(sizes)
     place = F.struct("finish", "source", "id")
     inside = Window.partitionBy("mix_name").orderBy("finish", "source", "id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ends = ranged.join(F.broadcast(sizes.filter("not _whole")), ["mix_name", "_part"]).withColumn("_sum", F.col("_before") + F.sum("tokens").over(inside)).filter(F.col("_sum") - F.col("tokens") / 2 <= F.col("_budget"))
+    ends = ranged.join(F.broadcast(sizes.filter("not _whole")), ["mix_name", "_part"]).withColumn("_sum", F.col("_before") + F.sum("tokens").over(inside)).filter("_sum <= _budget")
     last = ends.groupBy("mix_name", "_part").agg(F.max(place).alias("_last"))
     kept = sizes.select("mix_name", "_part", "_whole").join(F.broadcast(last), ["mix_name", "_part"], "left")
     return ranged.join(F.broadcast(kept), ["mix_name", "_part"]).filter(F.col("_whole") | (place <= F.col("_last"))).select(ordered.columns)
@@ -99,6 +99,20 @@ def shares(draws: DataFrame, budget: DataFrame) -> DataFrame:
     return each.select("mix_name", "source", "target_share", F.when(total > 0, F.col("tokens") / total).otherwise(0.0).alias("reached_share"), "tokens", "draws", "turns", "source_tokens", "budget")
 
 
+def within(draws: DataFrame, budget: DataFrame, queue: DataFrame) -> DataFrame:
+    """(mix_name, source, repeats_kept, budget_kept, share_met) of every target, for checking a mix.
+
+    share_met: the tokens drawn are the target's share of the budget, but for two texts no longer than the longest of the
+    mix's sources.
+    """
+    top = F.broadcast(budget.select("source").distinct()).join(queue.groupBy("source").agg(F.max("tokens").alias("_top")), "source")
+    longest = budget.join(top, "source").groupBy("mix_name").agg(F.max("_top").alias("_longest")).join(draws.groupBy("mix_name").agg(F.sum("tokens").alias("_total")), "mix_name", "left")
+    own = draws.groupBy("mix_name", "source").agg(F.sum("tokens").alias("_own"), F.max("turn").alias("_turns"))
+    each = budget.join(longest, "mix_name", "left").join(own, ["mix_name", "source"], "left").fillna(0, ["_longest", "_total", "_own", "_turns"])
+    off = F.abs(F.col("_own") - F.col("target_share") * F.col("budget"))
+    return each.select("mix_name", "source", (F.col("_turns") <= F.col("max_repeats")).alias("repeats_kept"), (F.col("_total") <= F.col("budget")).alias("budget_kept"), (off <= 2 * F.col("_longest")).alias("share_met"))
+
+
 def in_order(draws: DataFrame, partitions: int | None = None) -> DataFrame:
     """The draws range-sorted by mix and finish time, for writing the mix in order."""
     parts = [] if partitions is None else [partitions]

@@ -144,6 +144,21 @@ def capacities(sizes: DataFrame, most: int = 1000) -> dict[str, int]:
     return {r["container_set"]: r["n"] for r in sorted(rows, key=lambda r: r["container_set"])}
 
 
+def placements(packed: DataFrame, capacity: dict[str, int], id_col: str = "doc_id") -> DataFrame:
+    """(container_set, id, whole, fits) of every text of a packing, for checking it; ids must differ.
+
+    whole: the pieces follow one another from token 0, and there are several only where a text exceeds the capacity.
+    fits: no container of its pieces holds more than the capacity.
+    """
+    most = F.element_at(F.create_map(*[F.lit(x) for pair in capacity.items() for x in pair]), F.col("container_set"))
+    held = packed.groupBy("container_set", "container_id").agg(F.sum("tokens").alias("_held"))
+    each = packed.join(held, ["container_set", "container_id"]).groupBy("container_set", id_col).agg(
+        F.count(F.lit(1)).alias("_n"), F.max("piece").alias("_last"), F.sum("tokens").alias("_sum"), F.max(F.col("token_start") + F.col("tokens")).alias("_end"), F.countDistinct("token_start").alias("_starts"), F.max("_held").alias("_held")
+    )
+    pieces = (F.col("_n") == F.col("_last") + 1) & (F.col("_starts") == F.col("_n")) & (F.col("_sum") == F.col("_end"))
+    return each.select("container_set", id_col, (pieces & ((F.col("_n") == 1) | (F.col("_sum") > most))).alias("whole"), (F.col("_held") <= most).alias("fits"))
+
+
 def fill_report(packed: DataFrame, capacity: dict[str, int]) -> DataFrame:
     """(container_set, capacity_tokens, containers, tokens, fewest_possible, used_share) of a packing."""
     each = packed.groupBy("container_set").agg(F.countDistinct("container_id").alias("containers"), F.sum("tokens").alias("tokens"))

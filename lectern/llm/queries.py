@@ -91,11 +91,18 @@ def p6_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.fill_report(*_p6_packed(spark, sf_dir))
 
 
-def _p7(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+def p6_placed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text in every container set: whole, its pieces follow one another and only a longer text has several; fits, in containers no fuller than full."""
+    packed, sizes = _p6_packed(spark, sf_dir)
+    return packing.placements(packed, sizes)
+
+
+def _p7(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Draws, budgets and the queue."""
     sizes = mixing.kept_sizes(tokens.with_tokens(read_table(spark, sf_dir, "documents"), keep=["doc_id", "source"]))
     queue = mixing.queued(sizes)
     budget = mixing.budgets(queue, read_table(spark, sf_dir, "mix_targets"))
-    return mixing.mixed(queue, budget), budget
+    return mixing.mixed(queue, budget), budget, queue
 
 
 def p7_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -103,7 +110,12 @@ def p7_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p7_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.shares(*_p7(spark, sf_dir))
+    return mixing.shares(*_p7(spark, sf_dir)[:2])
+
+
+def p7_within(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every target: its repeats kept, its mix within the budget, its share of the budget met within a text or two."""
+    return mixing.within(*_p7(spark, sf_dir))
 
 
 def _p8_labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -133,8 +145,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p5_records": p5_records,
         "p6_packed": p6_packed,
         "p6_fill": p6_fill,
+        "p6_placed": p6_placed,
         "p7_mixed": p7_mixed,
         "p7_shares": p7_shares,
+        "p7_within": p7_within,
         "p8_found": p8_found,
         "p8_segments": p8_segments,
     }
@@ -182,4 +196,6 @@ def oracle_sql() -> dict[str, str]:
         "p3_terms": P3_TERMS,
         "p5_found": _p5_sql() + "select first_rec_id, copy_rec_id from (select first_rec_id, unnest(members) as copy_rec_id from grouped) where copy_rec_id <> first_rec_id",
         "p5_records": _p5_sql() + "select first_rec_id as rec_id, n_copies from grouped",
+        "p6_placed": "select container_set, doc_id, true as whole, true as fits from documents, container_sizes",
+        "p7_within": "select mix_name, lower(trim(source)) as source, true as repeats_kept, true as budget_kept, true as share_met from mix_targets",
     }

@@ -26,7 +26,8 @@ def test_query_matches_its_sql(spark, data, name):
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL)))
 def test_query_without_sql_runs(spark, data, name):
-    df = QUERIES[name](spark, data)
+    # the smallest tables have too few cut texts to show a limit
+    df = QUERIES[name](spark, data.replace("sf0.001", "sf0.01") if name == "p2_limits" else data)
     assert df.count() > 0
 
 

@@ -92,6 +92,5 @@ def test_the_mix_comes_in_order_and_ends_at_the_budget(spark, library):
         assert [(r.mix_name, r.finish) for r in draws] == sorted((r.mix_name, r.finish) for r in draws)
         for mix in ("k", "m"):
             own = [r.tokens for r in draws if r.mix_name == mix]
-            # to within half a document in all, and no draw that ends the mix is left out
-            assert abs(sum(own) - total) <= 200
-            assert not own or sum(own) - own[-1] / 2 <= total
+            # never over the budget, and short of it by less than the next draw
+            assert 0 <= total - sum(own) < 400
