@@ -114,15 +114,30 @@ def barred_type(pubtype: Column) -> Column:
     return F.coalesce(F.arrays_overlap(pubtype, F.array(*map(F.lit, NEGATIVE_TYPES))), F.lit(False))
 
 
-def with_tiers(df: DataFrame, title: str, body: str, name: str = "tiers") -> DataFrame:
+def _hits(df: DataFrame, title: str, body: str, pubtype: str | None) -> tuple[DataFrame, Column]:
+    """df with the words of its texts, made once a row in a projection of their own, and the numbers of the searches met."""
+    head = F.coalesce(F.col(title), F.lit(""))
+    texts = df.select("*", words_only(head).alias("_title"), words_only(F.concat_ws(" ", head, F.col(body))).alias("_both"))
+    taken = ~barred_type(F.col(pubtype)) if pubtype else F.lit(True)
+    numbers = F.array(*[F.when(taken & matches(s, F.col("_title"), F.col("_both")), F.lit(i)) for i, s in enumerate(SEARCHES, 1)])
+    return texts, F.filter(numbers, lambda x: x.isNotNull())
+
+
+def with_tiers(df: DataFrame, title: str, body: str, name: str = "tiers", pubtype: str | None = None) -> DataFrame:
     """df plus the tiers of the searches that a paper answers, in order, each once; nulls count as empty.
 
-    The words are made once a row, in a projection of their own.
+    pubtype names a list of publication types: a paper with one of NEGATIVE_TYPES answers none.
     """
-    head = F.coalesce(F.col(title), F.lit(""))
-    texts = df.select("*", words_only(head).alias("_title"), words_only(F.concat_ws(" ", head, F.col(body))).alias("_both"))
-    hits = F.array(*[F.when(matches(s, F.col("_title"), F.col("_both")), F.lit(s.tier)) for s in SEARCHES])
-    return texts.withColumn(name, F.array_sort(F.array_distinct(F.filter(hits, lambda x: x.isNotNull())))).drop("_title", "_both")
+    texts, hits = _hits(df, title, body, pubtype)
+    tiers = F.array(*[F.lit(s.tier) for s in SEARCHES])
+    return texts.withColumn(name, F.array_sort(F.array_distinct(F.transform(hits, lambda i: F.get(tiers, i - 1))))).drop("_title", "_both")
+
+
+def search_hits(df: DataFrame, title: str, body: str, pubtype: str | None = None) -> DataFrame:
+    """A row of df for each of the 19 searches that it answers, with the search's number and tier: what a union over all searches is made of."""
+    texts, hits = _hits(df, title, body, pubtype)
+    tiers = F.array(*[F.lit(s.tier) for s in SEARCHES])
+    return texts.select(*[F.col(f"`{c}`") for c in df.columns], F.explode(hits).alias("search")).withColumn("tier", F.get(tiers, F.col("search") - 1))
 
 
 def route(title: Column, journal: Column, pubtype: Column) -> Column:

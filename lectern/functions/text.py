@@ -79,9 +79,14 @@ def https(url: Column) -> Column:
     return F.regexp_replace(url, "^(.*?)ftp://", "$1https://")
 
 
+#: A word broken after a hyphen, and any hyphen before a line break. Fixed patterns.
+WRAPPED_WORD = r"(\w)\s*-\s*\n\s*(\w)"
+WRAPPED = r"-\s*\n\s*"
+
+
 def unwrap(text: Column) -> Column:
     """Addresses that a line break split at a hyphen made whole."""
-    return F.regexp_replace(F.regexp_replace(text, r"(\w)\s*-\s*\n\s*(\w)", "$1-$2"), r"-\s*\n\s*", "")
+    return F.regexp_replace(F.regexp_replace(text, WRAPPED_WORD, "$1-$2"), WRAPPED, "")
 
 
 def accession_links(text: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lectern.functions import coerce, text as tx
 
@@ -20,24 +20,32 @@ def patch(base: DataFrame, changes: DataFrame, key: str, columns: list[str], pre
 
 
 def merge_chunks(parts: DataFrame, key: str, order: str, *, flag: str, evidence: str, texts: list[str], lists: list[str], confidence: str, evidence_chars: int = 500) -> DataFrame:
-    """One record a key from ordered partial extracts.
+    """One record a key from ordered partial extracts; order differs between the parts of a key.
 
     The flag holds if any part's does; evidence is what parts say, joined and cut (n/a if nothing); a text is the
-    first that says something; a list the union in order; confidence the highest. Parts of one key are the chunks of
-    one document, so a group is bounded by the document's length.
+    first that says something; a list the union in order; confidence the highest. However many parts a key has, a group
+    holds its different entries, each with its first place, and as much evidence as is kept.
     """
     says = lambda c: coerce.strip(F.col(c)).isNotNull() & (coerce.strip(F.col(c)) != "") & (F.lower(coerce.strip(F.col(c))) != "n/a")
     rank = F.array_position(F.array(*map(F.lit, RANK)), coerce.confidence(F.col(confidence)))
-    in_order = lambda c: F.transform(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(c).alias("v")))), lambda x: x["v"])
-    spoken = F.when(says(evidence), coerce.strip(F.col(evidence)))
-    said = F.transform(F.array_sort(F.collect_list(F.when(spoken.isNotNull(), F.struct(F.col(order).alias("o"), spoken.alias("v"))))), lambda x: x["v"])
-    return parts.groupBy(key).agg(
+    out = parts.groupBy(key).agg(
         F.coalesce(F.bool_or(flag), F.lit(False)).alias(flag),
-        F.coalesce(F.nullif(F.left(F.array_join(said, " "), F.lit(evidence_chars)), F.lit("")), F.lit("n/a")).alias(evidence),
         *[F.coalesce(F.min_by(F.when(says(c), coerce.strip(F.col(c))), F.when(says(c), F.col(order))), F.lit("")).alias(c) for c in texts],
-        *[F.array_distinct(coerce.list_of(F.flatten(F.filter(in_order(c), lambda x: x.isNotNull())))).alias(c) for c in lists],
         F.element_at(F.array(*map(F.lit, RANK)), F.max(rank).cast("int")).alias(confidence),
     )
+    # a part adds a character and a blank at least, so no more parts than half the characters can be seen
+    first = Window.partitionBy(key).orderBy(order)
+    said = parts.filter(says(evidence)).select(key, F.col(order).alias("_o"), F.left(coerce.strip(F.col(evidence)), F.lit(evidence_chars)).alias("_v"), F.row_number().over(first).alias("_n")).filter(F.col("_n") <= evidence_chars // 2 + 1)
+    told = said.groupBy(key).agg(F.left(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_o", "_v"))), lambda x: x["_v"]), " "), F.lit(evidence_chars)).alias("_said"))
+    out = out.join(told, key, "left").withColumn(evidence, F.coalesce("_said", F.lit("n/a"))).drop("_said")
+    if lists:
+        tagged = F.array(*[F.struct(F.lit(c).alias("c"), F.transform(F.coalesce(F.col(c), F.array().cast("array<string>")), lambda x, i: F.struct(coerce.strip(x).alias("v"), i.alias("i"))).alias("e")) for c in lists])
+        each = parts.select(key, F.col(order).alias("_o"), F.explode(tagged).alias("_l")).select(key, "_o", "_l.c", F.explode("_l.e").alias("_e")).filter("_e.v <> ''")
+        firsts = each.groupBy(key, "c", F.col("_e.v").alias("v")).agg(F.min(F.struct("_o", "_e.i")).alias("f"))
+        in_order = lambda c: F.transform(F.array_sort(F.collect_list(F.when(F.col("c") == c, F.struct("f", "v")))), lambda x: x["v"])
+        unions = firsts.groupBy(key).agg(*[in_order(c).alias(c) for c in lists])
+        out = out.join(unions, key, "left").withColumns({c: F.coalesce(F.col(c), F.array().cast("array<string>")) for c in lists})
+    return out.select(key, flag, evidence, *texts, *lists, confidence)
 
 
 def with_links_found(links: Column, availability: Column, statement: Column, window: Column) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from lectern.functions import rules, text as tx
 from lectern.operators import report, store
 from lectern.operators.search import ordered
+from lectern.session import durable
 
 #: Columns that the site shows. Fixed values.
 SITE_COLUMNS = ["pmcid", "title", "year", "ehr_used", "summary", "pathologies_diseases", "exposure_domain", "data_source_type", "study_design", "data_availability", "data_accession_links", "confidence"]
@@ -34,8 +35,31 @@ def inventory(papers: DataFrame, xml_only: DataFrame) -> DataFrame:
     """no, pmcid, year, journal, title, exposure, outcome, format of every paper; bars in cells are escaped."""
     marked = papers.join(xml_only.select("pmcid", F.lit(True).alias("_xml")), "pmcid", "left")
     title = F.col("title")
-    rows = report.numbered(marked, ["year", "pmcid"])
-    return rows.select("no", "pmcid", "year", tx.escape_bars(F.coalesce("journal", F.lit(""))).alias("journal"), tx.escape_bars(title).alias("title"), rules.first_bucket(title, rules.EXPOSURE_BUCKETS).alias("exposure"), rules.first_bucket(title, rules.OUTCOME_BUCKETS).alias("outcome"), F.when(F.col("_xml"), "XML").otherwise("PDF").alias("format"))
+    cells = marked.select("pmcid", "year", tx.escape_bars(F.coalesce("journal", F.lit(""))).alias("journal"), tx.escape_bars(title).alias("title"), rules.first_bucket(title, rules.EXPOSURE_BUCKETS).alias("exposure"), rules.first_bucket(title, rules.OUTCOME_BUCKETS).alias("outcome"), F.when(F.col("_xml"), "XML").otherwise("PDF").alias("format"))
+    return report.numbered(cells, ["year", "pmcid"]).select("no", *cells.columns)
+
+
+def paper_summary(papers: DataFrame, xml_only: DataFrame, abstract_only: int = 0, excluded: int = 0, title: str = "Papers of the corpus") -> DataFrame:
+    """(section, place, line) of the inventory document, to be written in that order (see write_lines).
+
+    A heading with counts and years, the inventory, and the papers of each exposure and outcome bucket. Buckets with more
+    than 10,000 papers take several lines, so no line and no task holds a whole bucket.
+    """
+    rows = durable(inventory(papers, xml_only))
+    top = rows.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("format") == "XML").alias("xml"), F.coalesce(F.min(F.nullif("year", F.lit(""))), F.lit("")).alias("first"), F.coalesce(F.max(F.nullif("year", F.lit(""))), F.lit("")).alias("last"))
+    said = F.array(F.lit(f"# {title}"), F.lit(""), F.format_string("> %d papers: %d PDF, %d XML, %s–%s; %d abstracts only, %d excluded.", "n", F.col("n") - F.col("xml"), "xml", "first", "last", F.lit(abstract_only), F.lit(excluded)))
+    lines = top.select(F.lit(1).alias("section"), F.posexplode(said).alias("place", "line")).withColumn("place", F.col("place").cast("long"))
+    names = ["no", "pmcid", "year", "journal", "title", "exposure", "outcome", "format"]
+    lines = lines.unionByName(report.table_lines(rows, names, report.table_head("Inventory", names), 2, ["no"]))
+    for section, (bucket, table) in enumerate((("exposure", rules.EXPOSURE_BUCKETS), ("outcome", rules.OUTCOME_BUCKETS)), 3):
+        parts = report.id_parts(rows.drop("title"), F.col(bucket), ["no"], [*table, rules.OTHER])
+        lines = lines.unionByName(report.table_lines(parts, ["bucket", "n", "ids"], report.table_head(f"By {bucket}", [bucket, "n", "ids"]), section, ["place", "part"]))
+    return lines
+
+
+def write_lines(lines: DataFrame, folder: str) -> None:
+    """The lines of a document as text files whose names follow its order."""
+    lines.repartitionByRange("section", "place").sortWithinPartitions("section", "place").select("line").write.mode("overwrite").text(folder)
 
 
 def merged_list(*parts: DataFrame) -> DataFrame:
@@ -47,6 +71,23 @@ def merged_list(*parts: DataFrame) -> DataFrame:
     return first.orderBy("_first").select(*columns)
 
 
+def merged_keys(base: Column, fresh: Column) -> Column:
+    """Two maps as one; where both have a key, the value of the fresh one counts, null included."""
+    return F.map_concat(F.map_filter(base, lambda k, _: ~F.coalesce(F.map_contains_key(fresh, k), F.lit(False))), fresh)
+
+
+def outcomes(attempts: DataFrame) -> DataFrame:
+    """(list, uid, pmcid, title): the lists of a download run that each attempt goes to.
+
+    attempts has uid, pmcid, title, format, found (any bytes) and genuine (a full text). A genuine one is downloaded, if
+    XML also xml_only; one that was found but is no full text is abstract_only, the rest failed. Nulls count as false.
+    """
+    yes = lambda c: F.coalesce(F.col(c), F.lit(False))
+    kept = F.when(F.col("format") == "xml", F.array(F.lit("downloaded"), F.lit("xml_only"))).otherwise(F.array(F.lit("downloaded")))
+    lists = F.when(yes("found") & yes("genuine"), kept).when(yes("found"), F.array(F.lit("abstract_only"))).otherwise(F.array(F.lit("failed")))
+    return attempts.select(F.explode(lists).alias("list"), "uid", "pmcid", "title")
+
+
 def changed(base: DataFrame, batch: DataFrame, key: str) -> DataFrame:
     """Rows of the batch that the store lacks or has otherwise."""
     return store.upsert_plan(base, batch, key).filter(F.col("action").isin("insert", "update"))
@@ -57,12 +98,17 @@ def rebuild(shelf: store.SnapshotStore, records: DataFrame) -> tuple[int, int, i
 
     Records whose file is gone stay in the store.
     """
-    good = records.filter("_corrupt_record is null")
-    bad = records.filter("_corrupt_record is not null").count()
-    checked = store.validated(good)
-    invalid = checked.filter("reject is not null").count()
-    inserted, updated = shelf.import_records(checked.filter("reject is null").drop("reject"))
-    return inserted, updated, bad + invalid
+    checked = durable(_checked(records))
+    left_out = checked.filter("_bad").count()
+    inserted, updated = shelf.import_records(checked.filter("not _bad").drop("_bad", "reject"))
+    return inserted, updated, left_out
+
+
+def _checked(records: DataFrame) -> DataFrame:
+    """validated records of good files and a row of nulls for each unreadable one, all with _bad."""
+    good = store.validated(records.filter("_corrupt_record is null"))
+    lost = records.filter("_corrupt_record is not null").select(F.lit("unreadable").alias("reject"))
+    return good.unionByName(lost, allowMissingColumns=True).withColumn("_bad", F.col("reject").isNotNull())
 
 
 def has_all(present: Column, fields: list[str]) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lectern.functions import coerce, text as tx
+from lectern.session import durable
 
 
 def headline(df: DataFrame) -> DataFrame:
@@ -20,8 +21,9 @@ def counts(df: DataFrame, key: Column, name: str) -> DataFrame:
 
 def shares(df: DataFrame, key: Column, name: str) -> DataFrame:
     """Counts with their percent of all, largest first, then by lower-cased key."""
-    total = df.agg(F.count(F.lit(1))).scalar()
-    return counts(df, key, name).withColumn("percent", tx.percent(F.col("n"), total)).orderBy(F.desc("n"), F.lower(name), name)
+    counted = counts(df, key, name)
+    # summed over the groups, whose exchange is read again: the rows are not
+    return counted.withColumn("percent", tx.percent(F.col("n"), counted.agg(F.sum("n")).scalar())).orderBy(F.desc("n"), F.lower(name), name)
 
 
 def span(df: DataFrame, column: str) -> DataFrame:
@@ -57,8 +59,6 @@ def histogram(df: DataFrame, value: Column, domain: list[str], name: str) -> Dat
 def numbered(df: DataFrame, order: list[str], name: str = "no") -> DataFrame:
     """Rows numbered from 1 in a total order, without gathering them: ranges are counted, then numbered inside."""
     ranged = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id())
-    from lectern.session import durable
-
     kept = durable(ranged)
     sizes = kept.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     before = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")
@@ -67,10 +67,38 @@ def numbered(df: DataFrame, order: list[str], name: str = "no") -> DataFrame:
 
 
 def checklist_lines(df: DataFrame) -> DataFrame:
-    """One row a record: no, pmcid, year, ehr, diseases, source, summary as table cells."""
-    rows = numbered(df, ["year", "pmcid"])
+    """One row a record: no, pmcid, year, ehr, diseases, source, summary as table cells; cells are made before rows are numbered."""
     diseases = F.array_join(F.slice(F.coalesce("pathologies_diseases", F.array().cast("array<string>")), 1, 3), "; ")
-    return rows.select("no", "pmcid", "year", F.when(F.col("ehr_used"), "✓").otherwise("").alias("ehr"), tx.clip(F.coalesce(F.nullif(diseases, F.lit("")), F.lit("—")), 50).alias("diseases"), tx.clip(F.coalesce(F.nullif(F.col("data_source_type"), F.lit("")), F.lit("—")), 30).alias("source"), tx.clip(F.coalesce("summary", F.lit("")), 110).alias("summary"))
+    cells = df.select("pmcid", "year", F.when(F.col("ehr_used"), "✓").otherwise("").alias("ehr"), tx.clip(F.coalesce(F.nullif(diseases, F.lit("")), F.lit("—")), 50).alias("diseases"), tx.clip(F.coalesce(F.nullif(F.col("data_source_type"), F.lit("")), F.lit("—")), 30).alias("source"), tx.clip(F.coalesce("summary", F.lit("")), 110).alias("summary"))
+    return numbered(cells, ["year", "pmcid"]).select("no", *cells.columns)
+
+
+def ehr_rows(df: DataFrame) -> DataFrame:
+    """pmcid, year, diseases, source, title of the records that use health records, as table cells in canonical order."""
+    cell = lambda c: F.coalesce(F.nullif(c, F.lit("")), F.lit("—"))
+    used = df.filter(F.col("ehr_used") == F.lit(True))
+    return used.select("pmcid", "year", F.left(cell(F.array_join("pathologies_diseases", "; ")), F.lit(60)).alias("diseases"), F.left(cell(F.col("data_source_type")), F.lit(30)).alias("source"), tx.clip(F.coalesce("title", F.lit("")), 70).alias("title")).orderBy("year", "pmcid")
+
+
+def table_lines(df: DataFrame, columns: list[str], head: list[str], section: int, order: list[str]) -> DataFrame:
+    """(section, place, line): a titled table's lines, places from 0, rows numbered over ranges; made of any number of rows."""
+    cells = F.concat(F.lit("| "), F.concat_ws(" | ", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]), F.lit(" |"))
+    body = numbered(df.select(*dict.fromkeys([*order]), cells.alias("line")), order, "_no")
+    top = df.sparkSession.createDataFrame([(section, i, x) for i, x in enumerate(head)], "section int, place long, line string")
+    return top.unionByName(body.select(F.lit(section).alias("section"), (F.col("_no") + len(head) - 1).alias("place"), "line"))
+
+
+def table_head(title: str, columns: list[str]) -> list[str]:
+    return [f"## {title}", "", "| " + " | ".join(columns) + " |", "|" + "---|" * len(columns)]
+
+
+def console_table(df: DataFrame, most: int = 50) -> str:
+    """The first rows as a table for a terminal, in columns of equal width; says how many more there are."""
+    rows = [["" if v is None else str(v) for v in r] for r in df.limit(most + 1).collect()]
+    shown = rows[:most]
+    widths = [max([len(c), *(len(r[i]) for r in shown)]) for i, c in enumerate(df.columns)]
+    line = lambda cells: "  ".join(c.ljust(w) for c, w in zip(cells, widths, strict=True)).rstrip()
+    return "\n".join([line(df.columns), line(["-" * w for w in widths]), *map(line, shown), *(["more rows follow"] if len(rows) > most else [])])
 
 
 def id_parts(df: DataFrame, bucket: Column, order: list[str], labels: list[str], part_ids: int = 10_000) -> DataFrame:
@@ -104,11 +132,12 @@ def markdown_table(head: list[str], rows: list[tuple]) -> str:
 
 
 def summary_markdown(df: DataFrame, title: str = "Summary of the corpus") -> str:
-    """The summary report; only its small tables are gathered."""
+    """The summary report as one text, for a corpus that fits a file; table_lines makes tables of any size."""
     top = headline(df).first()
     years = span(df, "year").first()
     order = ["year", "pmcid"]
     parts = [f"# {title}", f"{top['n']} records, {years['first']}–{years['last']}; {top['n_ehr']} of {top['n']} ({top['percent_ehr'] or 0}%) use health records."]
+    parts += ["## Papers that use health records", markdown_table(["PMCID", "Year", "Diseases", "Source", "Title"], [tuple(r) for r in ehr_rows(df).collect()])]
     for name, column in (("Diseases", "pathologies_diseases"), ("Features", "captured_features")):
         parts += [f"## {name}", markdown_table([name, "n"], [tuple(r) for r in top_first_seen(df, F.col(column), 20, order).collect()])]
     levels = histogram(df, coerce.confidence(F.col("confidence")), ["high", "medium", "low", "unclear"], "confidence").collect()

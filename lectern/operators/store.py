@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-import os
+import re
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from lectern.functions import coerce
 from lectern.operators.search import ordered
 from lectern.schema import CHECKLIST_COLUMNS, LIST_COLUMNS, REQUIRED, SOURCE_FORMATS, checklist_schema
+from lectern.session import durable
 
 
 def validated(df: DataFrame) -> DataFrame:
@@ -86,33 +87,94 @@ def most_common(df: DataFrame, column: str, order: list[str]) -> DataFrame:
     return first.agg(F.coalesce(F.first("value"), F.lit("")).alias(column))
 
 
+class Conflict(RuntimeError):
+    """Another writer committed since the store was read."""
+
+
 class SnapshotStore:
-    """Records under a folder: each commit writes a new snapshot and then moves the pointer file."""
+    """Records under a folder of any file system that Spark knows: a base, deltas of what changed, and numbered commits.
 
-    def __init__(self, spark: SparkSession, path: str, key: str = "pmcid"):
-        self.spark, self.path, self.key = spark, path, key
+    A commit file lists the base and the deltas of one version and is made only if no file of that number exists, so of
+    two writers that read the same version one gets Conflict. A change writes the changed records only; every COMPACT_AT
+    deltas are merged into a new base. Readers of an older version are not disturbed.
+    """
 
-    def _pointer(self) -> str:
-        return os.path.join(self.path, "CURRENT.json")
+    COMPACT_AT = 8
 
-    def read(self) -> DataFrame:
-        """The current records; none before the first commit."""
-        if not os.path.exists(self._pointer()):
+    def __init__(self, spark: SparkSession, path: str, key: str = "pmcid"):
+        self.spark, self.path, self.key = spark, path.rstrip("/"), key
+        self._hadoop = spark._jvm.org.apache.hadoop.fs
+        self._fs = self._hadoop.Path(self.path).getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def _commit_file(self, version: int):
+        return self._hadoop.Path(f"{self.path}/commits/{version:012d}.json")
+
+    def version(self) -> int:
+        """The number of the last commit, 0 before the first."""
+        folder = self._hadoop.Path(f"{self.path}/commits")
+        if not self._fs.exists(folder):
+            return 0
+        names = [f.getPath().getName() for f in self._fs.listStatus(folder)]
+        return max((int(n[:12]) for n in names if re.fullmatch(r"\d{12}\.json", n)), default=0)
+
+    def _parts(self, version: int) -> list[str]:
+        """The base and the deltas of a version, oldest first."""
+        if not version:
+            return []
+        stream = self._fs.open(self._commit_file(version))
+        try:
+            return json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))["parts"]
+        finally:
+            stream.close()
+
+    def read(self, version: int | None = None) -> DataFrame:
+        """The records of a version, the current one by default; none before the first commit."""
+        parts = self._parts(self.version() if version is None else version)
+        if not parts:
             return self.spark.createDataFrame([], checklist_schema())
-        with open(self._pointer()) as f:
-            return self.spark.read.parquet(os.path.join(self.path, json.load(f)["snapshot"]))
-
-    def commit(self, df: DataFrame) -> DataFrame:
-        """Write a snapshot, then switch to it at once; readers of the old one are not disturbed."""
-        name = f"snapshot-{uuid.uuid4().hex}"
-        df.write.parquet(os.path.join(self.path, name))
-        os.makedirs(self.path, exist_ok=True)
-        fresh = f"{self._pointer()}.{uuid.uuid4().hex}"
-        with open(fresh, "w") as f:
-            json.dump({"snapshot": name}, f)
-        os.replace(fresh, self._pointer())
+        base = self.spark.read.parquet(f"{self.path}/{parts[0]}")
+        if len(parts) == 1:
+            return base
+        rows = base.withColumns({"_at": F.lit(0), "_gone": F.lit(False)})
+        for place, part in enumerate(parts[1:], 1):
+            rows = rows.unionByName(self.spark.read.parquet(f"{self.path}/{part}").withColumn("_at", F.lit(place)))
+        newest = rows.groupBy(self.key).agg(F.max_by(F.struct(*[c for c in rows.columns if c not in (self.key, "_at")]), "_at").alias("_r"))
+        return newest.filter("not _r._gone").select(*[F.col(self.key) if c == self.key else F.col(f"_r.{c}").alias(c) for c in base.columns])
+
+    def commit(self, changed: DataFrame, version: int, removed: DataFrame | None = None) -> DataFrame:
+        """The store after changed records replace or join those of version, and those of the keys in removed leave it."""
+        parts = self._parts(version)
+        delta = changed.withColumn("_gone", F.lit(False))
+        if removed is not None:
+            delta = delta.unionByName(removed.select(self.key).withColumn("_gone", F.lit(True)), allowMissingColumns=True)
+        name = f"delta-{uuid.uuid4().hex}" if parts else f"base-{uuid.uuid4().hex}"
+        (delta if parts else delta.filter("not _gone").drop("_gone")).write.parquet(f"{self.path}/{name}")
+        self._publish([*parts, name], version)
+        if len(parts) >= self.COMPACT_AT:
+            self.compact()
         return self.read()
 
+    def compact(self) -> None:
+        """Merge the current version into a base of its own; a writer that was faster leaves it as it is."""
+        version = self.version()
+        name = f"base-{uuid.uuid4().hex}"
+        self.read(version).write.parquet(f"{self.path}/{name}")
+        try:
+            self._publish([name], version)
+        except Conflict:
+            self._fs.delete(self._hadoop.Path(f"{self.path}/{name}"), True)
+
+    def _publish(self, parts: list[str], version: int) -> None:
+        """Make the commit file after version; Conflict if there is one."""
+        try:
+            stream = self._fs.create(self._commit_file(version + 1), False)
+        except Exception as error:
+            if self._fs.exists(self._commit_file(version + 1)):
+                raise Conflict(f"version {version} is no longer the current one") from error
+            raise
+        stream.write(json.dumps({"parts": parts}).encode())
+        stream.close()
+
     def list_all(self) -> DataFrame:
         return ordered(self.read())
 
@@ -128,18 +190,19 @@ class SnapshotStore:
 
     def add(self, df: DataFrame) -> DataFrame:
         """Insert valid records; ValueError for an invalid one or a key that exists."""
+        version = self.version()
         fresh = self._valid(df)
-        known = fresh.join(self.read().select(self.key), self.key, "left_semi").first()
+        known = fresh.join(self.read(version).select(self.key), self.key, "left_semi").first()
         twice = fresh.groupBy(self.key).count().filter("count > 1").first()
         if known or twice:
             raise ValueError(f"already exists: {(known or twice)[self.key]}")
-        return self.commit(self.read().unionByName(fresh))
+        return self.commit(fresh, version)
 
     def update(self, key: str, **changes: object) -> DataFrame:
         """Merge changes into one record and validate the whole; KeyError if it is missing, ValueError for another key."""
+        version = self.version()
         name = self.spark.range(1).select(coerce.pmcid(F.lit(key))).first()[0]
-        old = self.read().filter(F.col(self.key) == name)
-        row = old.first()
+        row = self.read(version).filter(F.col(self.key) == name).first()
         if row is None:
             raise KeyError(name)
         merged = row.asDict() | changes
@@ -147,26 +210,38 @@ class SnapshotStore:
             raise ValueError("the key of a record can't change")
         text = {k: (str(v).lower() if k == "ehr_used" and v is not None else v) for k, v in merged.items()}
         kinds = ", ".join(f"{f.name} {'string' if f.name == 'ehr_used' else f.dataType.simpleString()}" for f in checklist_schema())
-        fresh = self._valid(self.spark.createDataFrame([tuple(text[f.name] for f in checklist_schema())], kinds))
-        return self.commit(self.read().filter(F.col(self.key) != name).unionByName(fresh))
+        return self.commit(self._valid(self.spark.createDataFrame([tuple(text[f.name] for f in checklist_schema())], kinds)), version)
 
     def delete(self, key: str) -> bool:
         """Whether a record was removed."""
-        if self.get(key).first() is None:
+        version = self.version()
+        found = self.read(version).filter(F.col(self.key) == coerce.pmcid(F.lit(key)))
+        if found.first() is None:
             return False
-        self.commit(self.read().filter(F.col(self.key) != coerce.pmcid(F.lit(key))))
+        self.commit(found.limit(0), version, removed=found)
         return True
 
     def import_records(self, df: DataFrame, order: str | None = None) -> tuple[int, int]:
-        """Insert new and replace different records; (inserted, updated). The last of a repeated key counts."""
+        """Insert new and replace different records; (inserted, updated). The last of a repeated key counts.
+
+        The plan is worked out once and only what differs is written.
+        """
+        version = self.version()
         if order:
             df = last_of_key(df.withColumn(self.key, coerce.pmcid(F.col(self.key))), self.key, order).drop(order)
-        plan = upsert_plan(self.read(), self._valid(df), self.key)
-        counts = {r["action"]: r["count"] for r in plan.groupBy("action").count().collect()}
-        if counts.get("insert", 0) + counts.get("update", 0):
-            self.commit(plan.drop("action"))
+        changed = durable(upsert_plan(self.read(version), self._valid(df), self.key).filter(F.col("action").isin("insert", "update")))
+        counts = {r["action"]: r["count"] for r in changed.groupBy("action").count().collect()}
+        if counts:
+            self.commit(changed.drop("action"), version)
         return counts.get("insert", 0), counts.get("update", 0)
 
+    def export(self, *paths: str) -> int:
+        """Write the batch file to every path, made and validated once; ValueError for an invalid record. The number of records."""
+        batch = durable(envelope(ordered(self._valid(self.read()))))
+        for path in paths:
+            batch.coalesce(1).write.mode("overwrite").json(path)
+        return batch.first()["n"]
+
     def stats(self) -> dict[str, int]:
         row = self.read().agg(F.count(F.lit(1)).alias("n"), F.count_if("ehr_used").alias("ehr"), F.count_if(~F.col("ehr_used")).alias("no_ehr")).first()
         return row.asDict()

@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lectern.functions import text as tx
-from lectern.operators.store import last_of_key
+from lectern.operators.store import envelope, last_of_key
 from lectern.schema import batch_schema, checklist_schema
+from lectern.session import durable
 
 LOG_LISTS = {"papers": "struct<pmcid:string,title:string,journal:string,year:string,authors:string>", "excluded": "struct<pmcid:string,title:string,reason:string>", "abstract_only": "struct<pmcid:string,title:string>", "failed": "struct<pmcid:string,title:string>", "downloaded": "string", "xml_only": "string"}
 METADATA_DDL = "uid string, title string, source string, pubdate string, authors array<struct<name:string>>, pubtype array<string>"
@@ -62,15 +63,22 @@ def read_metadata(spark: SparkSession, path: str) -> DataFrame:
     return last_of_key(rows, "uid", "_at").drop("_at")
 
 
-def write_records(df: DataFrame, folder: str) -> None:
-    """JSON lines partitioned by id: one folder a record."""
-    df.write.mode("overwrite").partitionBy("pmcid").json(folder)
+def write_records(df: DataFrame, folder: str, buckets: int = 64) -> None:
+    """JSON lines in folders by a hash of the id, buckets of them; nulls are written, so every column comes back."""
+    bucket = F.pmod(F.xxhash64("pmcid"), F.lit(buckets)).cast("int")
+    df.withColumn("bucket", bucket).repartition("bucket").write.mode("overwrite").partitionBy("bucket").option("ignoreNullFields", "false").json(folder)
 
 
-def write_batch(df: DataFrame, path: str) -> None:
-    from lectern.operators.store import envelope
+def read_record_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Checklist records written by write_records."""
+    return spark.read.schema(checklist_schema()).json(folder).select(*checklist_schema().fieldNames())
 
-    envelope(df).coalesce(1).write.mode("overwrite").json(path)
+
+def write_batch(df: DataFrame, *paths: str) -> None:
+    """The batch file of df at every path; it is made once."""
+    batch = durable(envelope(df))
+    for path in paths:
+        batch.coalesce(1).write.mode("overwrite").json(path)
 
 
 def split_write(df: DataFrame, test: Column, kept: Callable[[DataFrame], None], dropped: Callable[[DataFrame], None]) -> None:

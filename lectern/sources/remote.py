@@ -69,22 +69,21 @@ def lookup(ids: DataFrame, client: Callable[[list[str]], dict[str, dict]], schem
                 yield pd.DataFrame(rows, columns=names)
                 time.sleep(delay)
 
-    return ids.select(key).distinct().coalesce(tasks).mapInPandas(ask, schema)
+    return ids.select(key).distinct().repartition(tasks).mapInPandas(ask, schema)
 
 
 def download(urls: DataFrame, client: Callable[[str], tuple[int, bytes]], *, key: str = "pmcid", url: str = "url", min_bytes: int = MIN_BYTES, delay: float = DELAY_S, tasks: int = 4) -> DataFrame:
     """(key, content): the bytes of each address; null unless the status is 200 and there are more than min_bytes."""
 
     def get(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        # a row at a time: a batch of whole files would not fit
         for frame in frames:
-            out = []
-            for address in frame["u"]:
+            for name, address in zip(frame["k"], frame["u"], strict=True):
                 try:
                     status, data = client(address) if address else (0, b"")
                 except Exception:  # noqa: BLE001
                     status, data = 0, b""
-                out.append(data if status == 200 and len(data) > min_bytes else None)
+                yield pd.DataFrame({key: [name], "content": [data if status == 200 and len(data) > min_bytes else None]})
                 time.sleep(delay)
-            yield pd.DataFrame({key: frame["k"], "content": out})
 
-    return urls.select(F.col(key).alias("k"), F.col(url).alias("u")).coalesce(tasks).mapInPandas(get, f"{key} string, content binary")
+    return urls.select(F.col(key).alias("k"), F.col(url).alias("u")).repartition(tasks).mapInPandas(get, f"{key} string, content binary")

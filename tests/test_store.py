@@ -60,6 +60,37 @@ def test_import_counts(shelf, spark):
     assert shelf.get("2").first().summary == "b" and shelf.stats()["n"] == 2
 
 
+def test_only_one_of_two_writers_commits(spark, tmp_path):
+    one, two = (store.SnapshotStore(spark, str(tmp_path / "store")) for _ in range(2))
+    one.add(records(spark, {"pmcid": "1"}))
+    seen = one.version()
+    two.commit(records(spark, {"pmcid": "PMC2"}), seen)
+    with pytest.raises(store.Conflict):
+        one.commit(records(spark, {"pmcid": "PMC3"}), seen)
+    assert sorted(r.pmcid for r in one.read().collect()) == ["PMC1", "PMC2"]
+    assert [r.pmcid for r in one.read(seen).collect()] == ["PMC1"]
+
+
+def test_deltas_are_small_and_merged(shelf, spark, tmp_path):
+    shelf.COMPACT_AT = 3
+    shelf.add(records(spark, *[{"pmcid": str(i), "key_findings": ["a", None]} for i in range(1, 6)]))
+    shelf.update("1", summary="one")
+    assert len(shelf._parts(shelf.version())) == 2 and spark.read.parquet(f"{shelf.path}/{shelf._parts(shelf.version())[1]}").count() == 1
+    shelf.delete("2")
+    assert shelf.import_records(records(spark, {"pmcid": "3", "summary": "three"}, {"pmcid": "2", "summary": "back"})) == (1, 1)
+    assert len(shelf._parts(shelf.version())) == 1
+    assert {r.pmcid: r.summary for r in shelf.read().collect()} == {"PMC1": "one", "PMC2": "back", "PMC3": "three", "PMC4": "S", "PMC5": "S"}
+    assert shelf.read().columns == CHECKLIST_COLUMNS
+
+
+def test_export_to_two_places(shelf, spark, tmp_path):
+    shelf.add(records(spark, {"pmcid": "2", "model": "m"}, {"pmcid": "1", "model": "m"}))
+    assert shelf.export(str(tmp_path / "a"), str(tmp_path / "b")) == 2
+    from lectern.sources import files
+
+    assert [r.pmcid for r in files.read_batch(spark, str(tmp_path / "a")).collect()] == [r.pmcid for r in files.read_batch(spark, str(tmp_path / "b")).collect()] == ["PMC1", "PMC2"]
+
+
 def test_insert_refuses_known_keys(spark):
     base = spark.createDataFrame([("a", 1)], "k string, v int")
     assert store.insert(base, spark.createDataFrame([("b", 2)], "k string, v int"), "k").count() == 2
@@ -90,6 +121,9 @@ def test_chunks_merge(spark):
     got = {r.k: r for r in merge.merge_chunks(parts, "k", "i", flag="flag", evidence="e", texts=["t"], lists=["l"], confidence="c").collect()}
     assert got["a"][1:] == (True, "seen again", "first", ["x", "y", "z"], "high")
     assert got["b"][1:] == (False, "n/a", "", [], "unclear")
+    many = spark.range(1, 3001).selectExpr("'h' as k", "int(id) as i", "concat('e', id) as e", "false as flag", "'' as t", "array(concat('v', id % 7), null) as l", "'low' as c")
+    hot = merge.merge_chunks(many, "k", "i", flag="flag", evidence="e", texts=["t"], lists=["l"], confidence="c").first()
+    assert hot.e == " ".join(f"e{i}" for i in range(1, 300))[:500] and hot.l == [f"v{i % 7}" for i in range(1, 8)]
 
 
 def test_links_make_data_public(spark):
@@ -120,6 +154,8 @@ def test_numbers_are_gapless(spark):
 
 def test_summary_markdown(spark):
     text = report.summary_markdown(records(spark, {"pmcid": "PMC1", "pathologies_diseases": ["asthma"], "confidence": "high"}))
+    assert "| PMC1 | 2020 | asthma | — | T |" in text
+    assert report.console_table(spark.createDataFrame([(1, None), (22, "b")], "a int, bb string"), 1) == "a  bb\n-  --\n1\nmore rows follow"
     assert "| asthma | 1 |" in text and "| high | 1 |" in text and "1 of 1 (100%)" in text
 
 
