@@ -59,10 +59,6 @@ def _spelled(key: Column) -> Column:
     return F.regexp_replace(F.lower(key), "[^0-9a-z]", "")
 
 
-def _one_of(keys: list[str]):
-    return lambda k, _: _spelled(k).isin(keys)
-
-
 def column_of(key: Column, columns: list[str], aliases: dict[str, list[str]] | None = None) -> Column:
     """The column that a key holds values of, or the key itself."""
     known = known_keys(columns, aliases)
@@ -133,7 +129,7 @@ def changes(raw: DataFrame, columns: list[str], *, aliases: dict[str, list[str]]
     compared only when both files show one. Rows with null stream form a stream; null payloads are unreadable.
     """
     names = dict(stream=stream, file=file, at=at)
-    numbers = durable(numbered_files(raw, **names))
+    numbers = numbered_files(raw, **names)
     shown = footers(raw, payload=payload, **names).withColumn("field", column_of(F.col("key"), columns, aliases))
     fields = shown.groupBy("stream", "file", "field").agg(F.array_join(F.array_sort(F.collect_set("key")), ", ").alias("keys"), F.array_join(F.array_sort(F.collect_set("json_type")), ", ").alias("types"))
     placed = fields.join(numbers.select(F.col("stream").alias("_s"), F.col("file").alias("_f"), "seq"), F.col("stream").eqNullSafe(F.col("_s")) & F.col("file").eqNullSafe(F.col("_f"))).select("stream", "seq", "field", "keys", "types")
@@ -157,7 +153,7 @@ def lifespans(raw: DataFrame, columns: list[str], *, aliases: dict[str, list[str
     lag over the starts and ends alone, which are few, pairs them.
     """
     names = dict(stream=stream, file=file, at=at)
-    numbers = durable(numbered_files(raw, **names))
+    numbers = numbered_files(raw, **names)
     shown = footers(raw, payload=payload, **names).drop("at").withColumn("field", column_of(F.col("key"), columns, aliases)).withColumn("json_type", F.coalesce("json_type", F.lit("unknown")))
     placed = shown.join(numbers.withColumnsRenamed({"stream": "_s", "file": "_f"}), F.col("stream").eqNullSafe(F.col("_s")) & F.col("file").eqNullSafe(F.col("_f")))
     group = ["stream", "field", "key", "json_type"]
@@ -175,30 +171,37 @@ def unified(raw: DataFrame, schema: list[tuple[str, str]], *, aliases: dict[str,
 
     Casts follow from the JSON type met: an object gives its text fields joined by '-' (a lone one is itself), an
     array of objects the id of each, a text for an array its entries (see listed), 0/1 and yes/no a boolean. readable
-    is false for a damaged payload, whose columns are null. Keys without a column stay in extra as JSON text. A
-    clashing name in keep takes the suffix _raw.
+    is false for a damaged payload, whose columns are null. Where several keys of a record hold one column, the first in
+    known_keys' order counts (of equal ones the first by name). Other keys, and keys without a column, stay in extra as
+    JSON text. A clashing name in keep takes the suffix _raw.
     """
     columns = [c for c, _ in schema]
-    fields = readable(F.col(f"`{payload}`"))
     kept = [F.col(f"`{c}`").alias(f"{c}_raw" if c in {*columns, "readable", "extra"} else c) for c in keep]
-    base = raw.select(*kept, fields.alias("_m"))
     known = known_keys(columns, aliases)
+    # (column, place among its keys) of every known key, looked up once a key
+    table = F.create_map(*[x for rank, (key, column) in enumerate(known.items()) for x in (F.lit(key), F.struct(F.lit(columns.index(column)).alias("c"), F.lit(rank).alias("r")))])
+    base = raw.select(*kept, readable(F.col(f"`{payload}`")).alias("_m"))
+    names = [c for c in base.columns if c != "_m"]
+    ranked = F.array_sort(F.filter(F.transform(F.map_keys("_m"), lambda k: F.struct(F.element_at(table, _spelled(k)).alias("h"), k.alias("k"))), lambda x: x["h"].isNotNull()))
+    order = base.withColumn("_o", ranked)
+    chosen = order.withColumn("_o", F.filter("_o", lambda x, i: (i == 0) | (F.get(F.col("_o"), i - 1)["h"]["c"] != x["h"]["c"])))
+    value = lambda j: F.try_element_at("_m", F.get(F.filter("_o", lambda x: x["h"]["c"] == j), F.lit(0))["k"])
+    valued = chosen.select(*[F.col(f"`{c}`") for c in names], "_m", "_o", *[value(j).alias(f"_v{j}") for j in range(len(columns))])
+    shaped = valued.select("*", *[json_type(F.col(f"_v{j}")).alias(f"_s{j}") for j, (_, kind) in enumerate(schema) if kind != "boolean"])
     out = [F.col("_m").isNotNull().alias("readable")]
-    for column, kind in schema:
-        keys = [k for k, c in known.items() if c == column]
-        value = F.get(F.map_values(F.map_filter("_m", _one_of(keys))), F.lit(0))
-        text = F.try_variant_get(value, "$", "string")
-        shape = json_type(value)
+    for j, (column, kind) in enumerate(schema):
+        held, shape = F.col(f"_v{j}"), F.col(f"_s{j}")
+        text = F.try_variant_get(held, "$", "string")
         if kind == "boolean":
             cast = F.when(F.lower(text).isin("true", "yes", "y", "1"), True).when(F.lower(text).isin("false", "no", "n", "0"), False)
         elif kind == "array<string>":
-            ids = F.transform(F.try_variant_get(value, "$", "array<variant>"), lambda x: F.try_variant_get(x, "$.id", "string"))
-            cast = F.when(shape == "array<object>", ids).when(shape == "string", listed(text, column)).otherwise(F.try_variant_get(value, "$", "array<string>"))
+            ids = F.transform(F.try_variant_get(held, "$", "array<variant>"), lambda x: F.try_variant_get(x, "$.id", "string"))
+            cast = F.when(shape == "array<object>", ids).when(shape == "string", listed(text, column)).otherwise(F.try_variant_get(held, "$", "array<string>"))
         else:
-            one = F.coalesce(F.try_variant_get(value, "$.category", "string"), F.concat_ws("-", F.try_variant_get(value, "$.name", "string"), F.try_variant_get(value, "$.build", "string")))
-            many = F.array_join(F.try_variant_get(value, "$", "array<string>"), "; ")
+            one = F.coalesce(F.try_variant_get(held, "$.category", "string"), F.concat_ws("-", F.try_variant_get(held, "$.name", "string"), F.try_variant_get(held, "$.build", "string")))
+            many = F.array_join(F.try_variant_get(held, "$", "array<string>"), "; ")
             cast = F.when(shape == "object", one).when(shape.startswith("array"), many).otherwise(text)
         out.append(cast.alias(column))
-    extra = F.map_filter("_m", lambda k, _: ~_spelled(k).isin(list(known)))
+    extra = F.map_filter("_m", lambda k, _: ~F.exists("_o", lambda x: x["k"] == k))
     out.append(F.when(F.size(extra) > 0, F.to_json(extra)).alias("extra"))
-    return base.select(*[F.col(f"`{c}`") for c in base.columns if c != "_m"], *out)
+    return shaped.select(*[F.col(f"`{c}`") for c in names], *out)

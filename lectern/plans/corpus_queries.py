@@ -236,10 +236,13 @@ def coerce_bool(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw.select("raw_id", coerce.boolean(F.try_variant_get(F.try_element_at("m", F.lit("ehr_used")), "$", "string")).alias("ehr_used"))
 
 
-@query(f"select rec_id, array_to_string(list_filter(list_transform(data_accession_links, lambda x: {strip_sql('x')}), lambda x: x <> ''), ' | ') as links from checklists where data_accession_links is not null")
+def clean_list_sql(c: str) -> str:
+    return f"array_to_string(list_filter(list_transform(coalesce({c}, []), lambda x: {strip_sql('x')}), lambda x: x <> ''), ' | ') as {c}"
+
+
+@query(f"select rec_id, {', '.join(map(clean_list_sql, LIST_COLUMNS))} from checklists")
 def coerce_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = read_table(spark, sf_dir, "checklists").filter("data_accession_links is not null")
-    return rows.select("rec_id", F.array_join(coerce.list_of(F.col("data_accession_links")), " | ").alias("links"))
+    return read_table(spark, sf_dir, "checklists").select("rec_id", *[F.array_join(coerce.list_of(F.col(c)), " | ").alias(c) for c in LIST_COLUMNS])
 
 
 @query(
@@ -260,7 +263,18 @@ def audit_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # the store
 
-COMPARED = ["title", "year", "ehr_used", "summary", "study_design", "confidence"]
+COMPARED = [c for c in CHECKLIST_COLUMNS if c != "pmcid"]
+
+
+def as_text(columns: list[str]) -> list[Column]:
+    """The columns, lists joined with bars between."""
+    return [F.array_join(c, " | ").alias(c) if c in LIST_COLUMNS else F.col(c) for c in columns]
+
+
+def as_text_sql(columns: list[str]) -> str:
+    return ", ".join(f"array_to_string({c}, ' | ') as {c}" if c in LIST_COLUMNS else c for c in columns)
+
+
 DELIVERIES = f"""
 tidy as (select rec_id, {id_sql()} as pmcid, {", ".join(COMPARED)} from checklists where pmcid is not null),
 half as (select max(rec_id) / 2 as h from tidy),
@@ -293,32 +307,30 @@ def upsert_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.counts(store.upsert_plan(*_deliveries(spark, sf_dir), "pmcid"), F.col("action"), "action")
 
 
-@query(f"with {DELIVERIES} select * exclude (action) from plan")
+@query(f"with {DELIVERIES} select {as_text_sql(CHECKLIST_COLUMNS)} from plan")
 def upsert_result(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return store.upsert_plan(*_deliveries(spark, sf_dir), "pmcid").drop("action")
+    return store.upsert_plan(*_deliveries(spark, sf_dir), "pmcid").select(*as_text(CHECKLIST_COLUMNS))
 
 
-@query(f"with {DELIVERIES} select b.pmcid, b.title, n.summary is not null and n.pmcid is not null as patched, case when n.pmcid is null then b.summary else n.summary end as summary, case when n.confidence is null then b.confidence else n.confidence end as confidence from base b left join batch n on b.pmcid = n.pmcid")
+@query(f"with {DELIVERIES}, p as (select b.* exclude (summary, confidence), case when n.pmcid is null then b.summary else n.summary end as summary, case when n.confidence is null then b.confidence else n.confidence end as confidence from base b left join batch n on b.pmcid = n.pmcid) select {as_text_sql(CHECKLIST_COLUMNS)} from p")
 def partial_update(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Patches of two columns, one of them only where it says something."""
     base, batch = _deliveries(spark, sf_dir)
     present = F.filter(F.array(F.lit("summary"), F.when(F.col("confidence").isNotNull(), F.lit("confidence"))), lambda x: x.isNotNull())
-    changes = batch.withColumn("present", present)
-    patched = merge.patch(base, changes, "pmcid", ["summary", "confidence"])
-    known = batch.filter("summary is not null").select("pmcid", F.lit(True).alias("patched"))
-    return patched.join(known, "pmcid", "left").select("pmcid", "title", F.coalesce("patched", F.lit(False)).alias("patched"), "summary", "confidence")
+    return merge.patch(base, batch.withColumn("present", present), "pmcid", ["summary", "confidence"]).select(*as_text(CHECKLIST_COLUMNS))
 
 
-@query(f"with {DELIVERIES} select pmcid, title from base where pmcid not in (select {id_sql()} from log_excluded) and pmcid not in (select pmcid from batch)")
+@query(f"with {DELIVERIES} select {as_text_sql(CHECKLIST_COLUMNS)} from base where pmcid not in (select {id_sql()} from log_excluded) and pmcid not in (select pmcid from batch)")
 def delete_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     base, batch = _deliveries(spark, sf_dir)
     gone = batch.select("pmcid").unionByName(read_table(spark, sf_dir, "log_excluded").select(coerce.pmcid(F.col("pmcid")).alias("pmcid")))
-    return store.delete(base, gone, "pmcid").select("pmcid", "title")
+    return store.delete(base, gone, "pmcid").select(*as_text(CHECKLIST_COLUMNS))
 
 
-@query(f"with {DELIVERIES} select pmcid, title from base union all select pmcid, title from batch where pmcid not in (select pmcid from base)")
+@query(f"with {DELIVERIES} select {as_text_sql(CHECKLIST_COLUMNS)} from (select * from base union all by name select * from batch where pmcid not in (select pmcid from base))")
 def insert_new(spark: SparkSession, sf_dir: str) -> DataFrame:
     base, batch = _deliveries(spark, sf_dir)
-    return store.insert(base, store.delete(batch, base, "pmcid"), "pmcid").select("pmcid", "title")
+    return store.insert(base, store.delete(batch, base, "pmcid"), "pmcid").select(*as_text(CHECKLIST_COLUMNS))
 
 
 @query(f"with {LATEST}, m as (select model from (select model, count(*) as n, min({{'y': year, 'p': pmcid}}) as f from latest where {strip_sql('model')} <> '' group by 1) order by n desc, f limit 1) select cast(count(*) as int) as n, (select model from m) as model, string_agg(pmcid, ' ' order by year, pmcid) as ids from latest")
@@ -470,10 +482,9 @@ def file_stems(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _log(spark, sf_dir).select("pmcid", tx.file_stem(F.col("title")).alias("stem")).distinct()
 
 
-@query(f"with {LATEST} select pmcid, title, year, ehr_used, summary, array_to_string(pathologies_diseases, '; ') as diseases, exposure_domain, data_availability, confidence from latest")
+@query(f"with {LATEST} select {as_text_sql(publish.SITE_COLUMNS)} from latest")
 def site_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    made = publish.site_records(latest(spark, sf_dir))
-    return made.select("pmcid", "title", "year", "ehr_used", "summary", F.array_join("pathologies_diseases", "; ").alias("diseases"), "exposure_domain", "data_availability", "confidence")
+    return publish.site_records(latest(spark, sf_dir)).select(*as_text(publish.SITE_COLUMNS))
 
 
 @query(
@@ -493,6 +504,99 @@ def merged_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return publish.merged_list(one("log_papers"), one("log_excluded"), one("log_papers"))
 
 
+INVENTORY = f"""{TIDY_LOG}, {LATEST}, one as (select pmcid, max({{'y': year, 't': title, 'j': coalesce(journal, '')}}) as r from log group by 1), b as (select pmcid, r.y as year, r.t as title, r.j as journal from one),
+inv as (select row_number() over (order by b.year, b.pmcid) as no, b.pmcid, b.year, replace(b.journal, '|', chr(92) || '|') as journal, replace(b.title, '|', chr(92) || '|') as title,
+  {bucket_sql(rules.EXPOSURE_BUCKETS).replace("title", "b.title")} as exposure, {bucket_sql(rules.OUTCOME_BUCKETS).replace("title", "b.title")} as outcome,
+  case when b.pmcid in (select pmcid from latest where source_format = 'xml') then 'XML' else 'PDF' end as format from b)"""
+
+
+def _head_sql(section: int, title: str, columns: list[str]) -> str:
+    return f"select {section} as section, unnest([0, 1, 2, 3]) as place, unnest({report.table_head(title, columns)!r}) as line"
+
+
+def _bucket_lines_sql(section: int, bucket: str, labels: list[str]) -> str:
+    rows = f"select list_position({labels!r}, {bucket}) as place, {bucket} as b, (row_number() over (partition by {bucket} order by no) - 1) // 10000 as part, no, pmcid from inv"
+    parts = f"select place, b, part, count(*) as n, string_agg(pmcid, ', ' order by no) as ids from ({rows}) group by all"
+    return f"{_head_sql(section, f'By {bucket}', [bucket, 'n', 'ids'])} union all select {section}, row_number() over (order by place, part) + 3, '| ' || b || ' | ' || n || ' | ' || ids || ' |' from ({parts})"
+
+
+_INV = ["no", "pmcid", "year", "journal", "title", "exposure", "outcome", "format"]
+
+
+@query(
+    f"""with {INVENTORY}
+select 1 as section, unnest([0, 1, 2]) as place, unnest(['# Papers of the corpus', '', (select '> ' || count(*) || ' papers: ' || count_if(format = 'PDF') || ' PDF, ' || count_if(format = 'XML') || ' XML, ' || coalesce(min(nullif(year, '')), '') || '–' || coalesce(max(nullif(year, '')), '') || '; 0 abstracts only, 0 excluded.' from inv)]) as line
+union all {_head_sql(2, "Inventory", _INV)} union all select 2, no + 3, '| ' || concat_ws(' | ', {", ".join(f"coalesce(cast({c} as varchar), '')" for c in _INV)}) || ' |' from inv
+union all {_bucket_lines_sql(3, "exposure", [*rules.EXPOSURE_BUCKETS, rules.OTHER])}
+union all {_bucket_lines_sql(4, "outcome", [*rules.OUTCOME_BUCKETS, rules.OTHER])}"""
+)
+def paper_summary_document(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line of the inventory document with its place."""
+    one = _log(spark, sf_dir).withColumn("journal", F.coalesce("journal", F.lit(""))).groupBy("pmcid").agg(F.max(F.struct("year", "title", "journal")).alias("r")).select("pmcid", "r.*")
+    return publish.paper_summary(one, latest(spark, sf_dir).filter("source_format = 'xml'"))
+
+
+@query(
+    f"""with {LATEST}, {TIDY_LOG}, ids as (select pmcid, min(title) as title from log group by 1),
+s as (select {id_sql()} as pmcid, bool_or({f"lower({strip_sql('status')})"} in ('ok', 'skipped')) as found, bool_or({f"lower({strip_sql('status')})"} = 'ok') as genuine from paper_results group by 1),
+a as (select ids.pmcid, ids.title, coalesce(l.source_format, 'pdf') as format, coalesce(s.found, false) as found, coalesce(s.genuine, false) as genuine from ids left join s using (pmcid) left join latest l using (pmcid))
+select unnest(case when found and genuine then case when format = 'xml' then ['downloaded', 'xml_only'] else ['downloaded'] end when found then ['abstract_only'] else ['failed'] end) as list, substring(pmcid, 4) as uid, pmcid, title from a"""
+)
+def download_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lists of a download run: a paper with an ok chunk is genuine, one with skipped ones only was found but is no full text."""
+    status = F.lower(coerce.strip(F.col("status")))
+    told = read_table(spark, sf_dir, "paper_results").groupBy(coerce.pmcid(F.col("pmcid")).alias("pmcid")).agg(F.bool_or(status.isin("ok", "skipped")).alias("found"), F.bool_or(status == "ok").alias("genuine"))
+    ids = _log(spark, sf_dir).groupBy("pmcid").agg(F.min("title").alias("title"))
+    attempts = ids.join(told, "pmcid", "left").join(latest(spark, sf_dir).select("pmcid", F.coalesce("source_format", F.lit("pdf")).alias("format")), "pmcid", "left")
+    return publish.outcomes(attempts.withColumn("uid", F.substring("pmcid", 4, 100)).withColumn("format", F.coalesce("format", F.lit("pdf"))))
+
+
+# point reads and small columns
+
+
+@query(f"with {LATEST} select {as_text_sql(CHECKLIST_COLUMNS)} from latest where pmcid = (select min(pmcid) from latest)")
+def get_record(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The record of one paper, asked for in lower case: the first one."""
+    key = read_table(spark, sf_dir, "checklists").agg(F.min(coerce.pmcid(F.col("pmcid")))).first()[0] or ""
+    return search.get(latest(spark, sf_dir), f" {key.lower()} ").select(*as_text(CHECKLIST_COLUMNS))
+
+
+@query(f"with {LATEST} select pmcid, title from latest where pmcid in (select distinct {id_sql()} as p from log_papers order by p limit 5) order by pmcid limit 3")
+def selected_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of given ids in order, at most three of them: what a run over a selection reads."""
+    keys = [r.pmcid for r in _log(spark, sf_dir).select("pmcid").distinct().orderBy("pmcid").limit(5).collect()]
+    return search.select_keys(latest(spark, sf_dir), [k[3:] for k in keys], 3).select("pmcid", "title")
+
+
+@query("select rec_id, array_to_string(list_transform(data_accession_links, lambda x: regexp_replace(x, 'ftp://', 'https://')), ' | ') as links from checklists where data_accession_links is not null")
+def https_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_table(spark, sf_dir, "checklists").filter("data_accession_links is not null")
+    return rows.select("rec_id", F.array_join(F.transform("data_accession_links", tx.https), " | ").alias("links"))
+
+
+@query(f"with {LATEST} select pmcid, '<h1>' || coalesce(title, '') || '</h1> ' || pmcid || ' (' || year || ') ' || pmcid as page from latest")
+def filled_template(spark: SparkSession, sf_dir: str) -> DataFrame:
+    page = tx.fill_template(F.lit("<h1>%%TITLE%%</h1> %%ID%% (%%YEAR%%) %%ID%%"), {"TITLE": F.coalesce("title", F.lit("")), "ID": F.col("pmcid"), "YEAR": F.col("year")})
+    return latest(spark, sf_dir).select("pmcid", page.alias("page"))
+
+
+@query("select raw_id, list_has_all(json_keys(payload), ['title', 'year', 'summary']) as complete from raw_checklists where json_valid(payload) and json_type(payload) = 'OBJECT'")
+def complete_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether a record has the fields that a reader needs."""
+    from lectern.operators.drift import readable
+
+    rows = read_table(spark, sf_dir, "raw_checklists").select("raw_id", readable(F.col("payload")).alias("m")).filter("m is not null")
+    return rows.select("raw_id", publish.has_all(F.map_keys("m"), ["title", "year", "summary"]).alias("complete"))
+
+
+@query("select rec_id, title as words from checklists where title is not null")
+def search_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The words of a search box from the address of its page, encoded as browsers do."""
+    rows = read_table(spark, sf_dir, "checklists").filter("title is not null")
+    address = F.concat(F.lit("http://localhost/search?q="), F.url_encode("title"), F.lit("&page=2"))
+    return rows.select("rec_id", publish.search_words(address).alias("words"))
+
+
 # processing results
 
 DEDUPED = f"r as (select result_id, min({id_sql()}) as pmcid, min(coalesce(nullif({STATUS}, ''), 'unknown')) as status, max(attempt) as attempt, min(recorded_at) as recorded_at, min(chunk_no) as chunk_no from paper_results group by result_id)"
@@ -555,6 +659,42 @@ def boolean_query_tiers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("rec_id", F.array_join(F.col("tiers").cast("array<string>"), ",").alias("tiers"))
 
 
+@query(
+    "select uid, array_to_string(list_sort(list_distinct(list_filter(["
+    + ", ".join(f"case when {search_sql(s)} and not list_has_any(coalesce(pubtype, []), {rules.NEGATIVE_TYPES!r}) then {s.tier} end" for s in rules.SEARCHES)
+    + "], lambda x: x is not null))), ',') as tiers from (select uid, pubtype, "
+    + words_sql("coalesce(title, '')") + " as title_words, title_words as both_words from paper_metadata)"
+)
+def metadata_tiers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tiers by title, papers of barred publication types left without any."""
+    rows = read_table(spark, sf_dir, "paper_metadata").select("uid", "title", F.lit(None).cast("string").alias("body"), "pubtype")
+    return rules.with_tiers(rows, "title", "body", pubtype="pubtype").select("uid", F.array_join(F.col("tiers").cast("array<string>"), ",").alias("tiers"))
+
+
+HITS = (
+    "hits as (select pmcid, unnest(list_filter([" + ", ".join(f"case when {search_sql(s)} then {i} end" for i, s in enumerate(rules.SEARCHES, 1))
+    + "], lambda x: x is not null)) as search from (select " + id_sql() + " as pmcid, " + words_sql("coalesce(title, '')") + " as title_words, " + words_sql("concat_ws(' ', coalesce(title, ''), summary)")
+    + " as both_words from checklists where pmcid is not null))"
+)
+
+
+def _search_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_table(spark, sf_dir, "checklists").filter("pmcid is not null").select(coerce.pmcid(F.col("pmcid")).alias("pmcid"), "title", "summary")
+    return rules.search_hits(rows, "title", "summary")
+
+
+@query(f"with {HITS} select search, count(distinct pmcid) as n from hits group by 1")
+def search_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Papers that each of the searches finds."""
+    return _search_hits(spark, sf_dir).groupBy("search").agg(F.countDistinct("pmcid").alias("n"))
+
+
+@query(f"with {HITS} select pmcid, count(distinct search) as n_searches, min(search) as first_search from hits group by 1")
+def search_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The different papers of all searches, with how many found each and which was first."""
+    return _search_hits(spark, sf_dir).groupBy("pmcid").agg(F.countDistinct("search").alias("n_searches"), F.min("search").alias("first_search"))
+
+
 def queries() -> dict:
     return dict(REGISTRY.queries)
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 import time
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Mapping
 
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
@@ -16,6 +16,18 @@ from lectern.operators import merge
 MAX_ATTEMPTS, SOURCE_CHARS = 3, 6_000
 
 Client = Callable[[list[dict[str, str]]], str]
+DEFAULTS = {"url": "http://localhost:8000/v1", "model": "default", "max_tokens": "32768"}
+
+
+def settings(environ: Mapping[str, str], defaults: dict[str, str] | None = None, prefix: str = "LECTERN_MODEL_") -> dict[str, str]:
+    """Settings of a model service: url, model, max_tokens and key, each from the variable named after it, trimmed.
+
+    A missing or blank variable gives the default; a missing key is a RuntimeError.
+    """
+    read = lambda name: environ.get(prefix + name.upper(), "").strip()
+    if not read("key"):
+        raise RuntimeError(f"{prefix}KEY is not set")
+    return {name: read(name) or value for name, value in (defaults or DEFAULTS).items()} | {"key": read("key")}
 
 
 def prompt(pmcid: str, title: str, year: str, text: str, keys: list[str]) -> str:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lectern.functions import coerce, jsonfix, rules, text as tx
 from lectern.operators import merge
+from lectern.plans import availability
 from lectern.plans.corpus_queries import confidence_sql, id_sql, strip_sql
 from lectern.plans.registry import Registry
 from lectern.session import read_table
@@ -78,9 +79,36 @@ def wrap_repair_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 AT = f"instr(text, regexp_extract(text, '{tx.AVAILABILITY_HEADING}'))"
 
 
-@query(f"select doc_id, md5(case when regexp_matches(text, '{tx.AVAILABILITY_HEADING}') then substring(text, greatest({AT} - 200, 1), 6000) else right(text, 6000) end) as digest, least(length(text), 6000) >= 0 as whole from documents")
+@query(f"select doc_id, md5(case when regexp_matches(text, '{tx.AVAILABILITY_HEADING}') then substring(text, greatest({AT} - 200, 1), 6000) else right(text, 6000) end) as digest from documents")
 def da_window(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_table(spark, sf_dir, "documents").select("doc_id", F.md5(tx.availability_window(F.col("text"))).alias("digest"), F.lit(True).alias("whole"))
+    return read_table(spark, sf_dir, "documents").select("doc_id", F.md5(tx.availability_window(F.col("text"))).alias("digest"))
+
+
+WINDOWS = f"""t as (select cast(doc_id as varchar) as doc_id, coalesce({strip_sql('text')}, '') as t from documents),
+w as (select doc_id, case when regexp_matches(t, '{tx.AVAILABILITY_HEADING}') then substring(t, greatest(instr(t, regexp_extract(t, '{tx.AVAILABILITY_HEADING}')) - 200, 1), 6000) else right(t, 6000) end as w from t),
+l as (select *, {extract_all_sql(unwrap_sql('w'), tx.ACCESSIONS)} as l from w)"""
+
+
+@query(
+    rf"""with {WINDOWS} select doc_id, case when len(l) > 0 then 'public-repository' end as data_availability, case when len(l) > 0 then array_to_string({ordered_distinct_sql('l')}, ' | ') end as links,
+  case when len(l) > 0 then coalesce(nullif(left({strip_sql(f"regexp_extract(w, '{tx.EVIDENCE}')")}, 300), ''), 'Data deposited in a public repository.') end as statement, case when len(l) > 0 then 'patterns' else 'none' end as told_by from l"""
+)
+def availability_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The scan without a model, over every document: what the patterns alone tell."""
+    papers = read_table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("pmcid"), F.lit("").alias("title"), F.lit("").alias("year"), "text")
+    found = availability.scan(papers)
+    return found.select(F.col("pmcid").alias("doc_id"), "data_availability", F.array_join("data_accession_links", " | ").alias("links"), F.col("data_availability_statement").alias("statement"), "told_by")
+
+
+@query(
+    rf"""with l as (select *, {extract_all_sql(unwrap_sql("coalesce(data_availability_statement, '')"), tx.ACCESSIONS)} as found from checklists)
+select rec_id, case when len(found) > 0 then 'public-repository' else data_availability end as data_availability,
+  array_to_string(case when len(found) > 0 then {ordered_distinct_sql("list_concat(coalesce(data_accession_links, []), found)")} else data_accession_links end, ' | ') as links from l"""
+)
+def links_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every record after the identifiers in its own statement are added to what it says."""
+    made = merge.with_links_found(F.col("data_accession_links"), F.col("data_availability"), F.col("data_availability_statement"), F.coalesce("data_availability_statement", F.lit("")))
+    return read_table(spark, sf_dir, "checklists").select("rec_id", made.alias("m")).select("rec_id", "m.data_availability", F.array_join("m.data_accession_links", " | ").alias("links"))
 
 
 @query(rf"select doc_id, left({strip_sql(f"regexp_extract(text, '{tx.EVIDENCE}')")}, 300) as evidence from documents where regexp_matches(text, '{tx.EVIDENCE}')")
@@ -118,18 +146,21 @@ def union_sql(c: str) -> str:
     return f"array_to_string({ordered_distinct_sql(clean)}, ' | ') as {c}"
 
 
+MERGED_TEXTS = ["summary", "study_design", "data_source_type", "population", "exposure_domain"]
+MERGED_LISTS = ["key_findings", "captured_features", "pathologies_diseases", "limitations"]
+
+
 @query(
     f"""select {id_sql()} as pmcid, coalesce(bool_or(ehr_used), false) as ehr_used,
   coalesce(nullif(left(string_agg({strip_sql('ehr_evidence')}, ' ' order by rec_id) filter (where {says_sql('ehr_evidence')}), 500), ''), 'n/a') as ehr_evidence,
-  {first_said_sql('summary')}, {first_said_sql('study_design')}, {union_sql('pathologies_diseases')}, {union_sql('captured_features')},
+  {', '.join(map(first_said_sql, MERGED_TEXTS))}, {', '.join(map(union_sql, MERGED_LISTS))},
   ['unclear', 'low', 'medium', 'high'][max(list_position(['unclear', 'low', 'medium', 'high'], {confidence_sql('confidence')}))] as confidence
 from checklists where pmcid is not null group by 1"""
 )
 def chunk_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = read_table(spark, sf_dir, "checklists").filter("pmcid is not null").withColumn("pmcid", coerce.pmcid(F.col("pmcid")))
-    lists = ["pathologies_diseases", "captured_features"]
-    out = merge.merge_chunks(parts, "pmcid", "rec_id", flag="ehr_used", evidence="ehr_evidence", texts=["summary", "study_design"], lists=lists, confidence="confidence")
-    return out.select(*[F.array_join(c, " | ").alias(c) if c in lists else F.col(c) for c in out.columns])
+    out = merge.merge_chunks(parts, "pmcid", "rec_id", flag="ehr_used", evidence="ehr_evidence", texts=MERGED_TEXTS, lists=MERGED_LISTS, confidence="confidence")
+    return out.select(*[F.array_join(c, " | ").alias(c) if c in MERGED_LISTS else F.col(c) for c in out.columns])
 
 
 @query()
@@ -145,7 +176,27 @@ PROSE = [
 ]
 
 
-@query()
+REPLIES = [
+    (1, 'Sure:\n```json\n{"a": 1}\n```\nDone.', '{"a": 1}'),
+    (2, 'noise {"a": {"b": 2}} trailing', '{"a": {"b": 2}}'),
+    (3, '{"a": 1} and {"a": 2, "b": 3}', '{"a": 2, "b": 3}'),
+    (4, '{"a": {"b": 1}', '{"a": {"b": 1}}'),
+    (5, '{"a": 1, ', '{"a": 1}'),
+    (6, "garbage", None),
+    (7, None, None),
+]
+
+
+@query(f"select id, found from {values_sql('id, reply, found', REPLIES)}")
+def salvaged_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Replies in prose, cut off and fenced, against the objects they hold."""
+    return fixture(spark, "id int, reply string, found string", REPLIES).select("id", jsonfix.salvaged_json("reply").alias("found"))
+
+
+TOLD = [(1, "public-repository", "GSE12345 | https://zenodo.org/records/77", "The data were deposited in a public archive."), (2, "not-stated", "", ""), (3, "in-house", "", ""), (4, None, None, None)]
+
+
+@query(f"select * from {values_sql('id, data_availability, links, data_availability_statement', TOLD)}")
 def availability_reply(spark: SparkSession, sf_dir: str) -> DataFrame:
     told = fixture(spark, "id int, reply string", PROSE).select("id", jsonfix.availability_reply(F.col("reply")).alias("r"))
     return told.select("id", "r.data_availability", F.array_join("r.data_accession_links", " | ").alias("links"), "r.data_availability_statement")

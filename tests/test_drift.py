@@ -128,3 +128,10 @@ def test_lists_written_as_texts(spark, tmp_path):
     rows = entry.queries()["p4_table"](spark, str(tmp_path)).orderBy("raw_id").collect()
     column = {"links": "data_accession_links", "diseases": "pathologies_diseases"}
     assert [r[column.get(k, k)] for r, (p, _) in zip(rows, cases) for k in p] == [want for _, want in cases]
+
+
+def test_two_keys_of_one_column(spark):
+    payloads = [{"pub_year": "2002", "year": "2001"}, {"publication_year": "2003", "PubYear": "2002", "pub_year": None}, {"Year": "b", "YEAR": "a"}]
+    rows = drift.unified(raw(spark, ("s", "f", 1, payloads)), CHECKLIST_TYPES, keep=["raw_id"]).orderBy("raw_id").collect()
+    # the column's own name first, then its aliases in order, then by name; what does not count stays in extra
+    assert [(r.year, json.loads(r.extra)) for r in rows] == [("2001", {"pub_year": "2002"}), ("2002", {"pub_year": None, "publication_year": "2003"}), ("a", {"Year": "b"})]

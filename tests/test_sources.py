@@ -5,7 +5,7 @@ import tarfile
 import pytest
 from pyspark.sql import functions as F
 
-from lectern.plans import extraction
+from lectern.plans import availability, extraction
 from lectern.plans.pipeline import Pipeline, observed
 from lectern.schema import CHECKLIST_COLUMNS
 from lectern.sources import files, fulltext, remote
@@ -194,3 +194,61 @@ def test_pipeline_edges_are_parameter_names(spark):
     df, watch = observed(spark.range(5), "rows of five")
     df.collect()
     assert watch.get == {"rows": 5}
+
+
+def test_availability_scan(spark):
+    texts = {
+        "PMC1": "Methods. Data availability: deposited as GSE12345 in GEO.",
+        "PMC2": "Data availability: on request.",
+        "PMC3": "Nothing here.",
+        "PMC4": "See https://zenodo.org/records/77 for all files.",
+        "PMC5": None,
+        "PMC6": "Code availability: in house.",
+    }
+    said = {
+        "PMC1": '```json\n{"data_availability": "available upon request", "data_accession_links": "phs000123", "data_availability_statement": "s"}\n```',
+        "PMC2": '{"data_availability": "available_upon_request", "data_accession_links": ["", " x "]}',
+        "PMC3": "data_availability: not stated",
+        "PMC6": "no idea",
+    }
+    asked = spark.sparkContext.accumulator(0)
+
+    def client(messages):
+        asked.add(1)
+        key = messages[1]["content"].split("PMCID: ")[1][:4]
+        return said[key]
+
+    papers = spark.createDataFrame([(k, "t", "2020", v) for k, v in texts.items()], "pmcid string, title string, year string, text string")
+    found = availability.scan(papers, client)
+    got = {r.pmcid: r[1:] for r in found.collect()}
+    assert got == {
+        "PMC1": ("public-repository", ["phs000123", "GSE12345"], "s", "both"),
+        "PMC2": ("available-upon-request", ["x"], "", "model"),
+        "PMC3": ("not-stated", [], "", "model"),
+        "PMC4": ("public-repository", ["https://zenodo.org/records/77"], "Data deposited in a public repository.", "patterns"),
+        "PMC5": (None, None, None, "none"),
+        "PMC6": (None, None, None, "none"),
+    }
+    # one call a paper with a text, the failing one for PMC4 included
+    assert asked.value == 5
+    records = spark.createDataFrame([("PMC1", "kept", "in-house", None, None), ("PMC6", "kept", "in-house", ["a"], "b"), ("PMC9", "kept", None, None, None)], "pmcid string, summary string, data_availability string, data_accession_links array<string>, data_availability_statement string")
+    merged = {r.pmcid: r[1:] for r in availability.scanned_records(records, found).collect()}
+    assert merged["PMC1"] == ("kept", "public-repository", ["phs000123", "GSE12345"], "s") and merged["PMC6"] == ("kept", "in-house", ["a"], "b")
+    assert merged["PMC4"][0] is None and merged["PMC4"][1] == "public-repository" and merged["PMC9"] == ("kept", None, None, None) and len(merged) == 6
+    alone = {r.pmcid: r.told_by for r in availability.scan(papers).collect()}
+    assert alone == {"PMC1": "patterns", "PMC4": "patterns", "PMC2": "none", "PMC3": "none", "PMC5": "none", "PMC6": "none"}
+    assert availability.scan(papers.limit(0), client).count() == 0
+
+
+def test_model_settings():
+    assert extraction.settings({"LECTERN_MODEL_KEY": " k ", "LECTERN_MODEL_URL": " "}) == {**extraction.DEFAULTS, "key": "k"}
+    assert extraction.settings({"LECTERN_MODEL_KEY": "k", "LECTERN_MODEL_MODEL": "m"})["model"] == "m"
+    with pytest.raises(RuntimeError, match="KEY"):
+        extraction.settings({"LECTERN_MODEL_KEY": " "})
+
+
+def test_record_buckets(spark, tmp_path):
+    rows = spark.createDataFrame([(f"PMC{i}", "t\nu", None if i % 2 else "2020", True, None, "s", ["a", None], [], None, *[None] * 11) for i in range(50)], files.checklist_schema())
+    files.write_records(rows, str(tmp_path / "out"), buckets=4)
+    assert len(list((tmp_path / "out").glob("bucket=*"))) == 4
+    assert {tuple(map(str, r)) for r in files.read_record_lines(spark, str(tmp_path / "out")).collect()} == {tuple(map(str, r)) for r in rows.collect()}
