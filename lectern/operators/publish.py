@@ -21,14 +21,21 @@ def site_records(df: DataFrame) -> DataFrame:
 
 
 def site_page(df: DataFrame, template: str) -> DataFrame:
-    """One row, page: the template with its records as JSON, their number and their years.
+    """(place, line): the template with its records as JSON, one a line, their number and their years; see store.write_envelope.
 
-    A page holds all records by nature. Closing tags inside the JSON are broken so that they end no script.
+    Lines are numbered over ranges, so no task holds all records. Closing tags inside the JSON are broken so that they
+    end no script. The template holds %%DATA%% once.
     """
-    made = site_records(df)
-    body = made.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.min(F.nullif("year", F.lit(""))), F.lit("")).alias("first"), F.coalesce(F.max(F.nullif("year", F.lit(""))), F.lit("")).alias("last"), F.array_sort(F.collect_list(F.struct("year", "pmcid", F.struct(*SITE_COLUMNS).alias("r")))).alias("s"))
-    text = F.replace(F.to_json(F.transform("s", lambda x: x["r"])), F.lit("</"), F.lit("<\\/"))
-    return body.select(tx.fill_template(F.lit(template), {"DATA": text, "COUNT": F.col("n").cast("string"), "FIRST": F.col("first"), "LAST": F.col("last")}).alias("page"))
+    made = durable(site_records(df))
+    told = made.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.min(F.nullif("year", F.lit(""))), F.lit("")).alias("first"), F.coalesce(F.max(F.nullif("year", F.lit(""))), F.lit("")).alias("last"))
+    before, _, after = template.partition("%%DATA%%")
+    fill = lambda text: tx.fill_template(F.lit(text), {"COUNT": F.col("n").cast("string"), "FIRST": F.col("first"), "LAST": F.col("last")})
+    rows = report.numbered(made, ["year", "pmcid"])
+    text = F.replace(F.to_json(F.struct(*SITE_COLUMNS)), F.lit("</"), F.lit("<\\/"))
+    total = told.select("n").scalar()
+    body = rows.select(F.col("no").cast("long").alias("place"), F.concat(text, F.when(F.col("no") < total, ",").otherwise("")).alias("line"))
+    ends = told.select(F.posexplode(F.array(F.concat(fill(before), F.lit("[")), F.concat(F.lit("]"), fill(after)))).alias("i", "line"), "n")
+    return body.unionByName(ends.select(F.when(F.col("i") == 0, F.lit(0).cast("long")).otherwise(F.col("n") + 1).alias("place"), "line"))
 
 
 def inventory(papers: DataFrame, xml_only: DataFrame) -> DataFrame:

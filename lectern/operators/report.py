@@ -101,8 +101,8 @@ def console_table(df: DataFrame, most: int = 50) -> str:
     return "\n".join([line(df.columns), line(["-" * w for w in widths]), *map(line, shown), *(["more rows follow"] if len(rows) > most else [])])
 
 
-def id_parts(df: DataFrame, bucket: Column, order: list[str], labels: list[str], part_ids: int = 10_000) -> DataFrame:
-    """(place, bucket, part, n, ids): the ids of each bucket in order, joined, in numbered lines of at most part_ids.
+def bucket_ids(df: DataFrame, bucket: Column, order: list[str], labels: list[str]) -> DataFrame:
+    """(place, bucket, pos, pmcid): every id of each bucket, numbered from 1 in order; buckets by their place in labels, 0 for others.
 
     Rows are numbered over ranges of all buckets in turn and counted from the bucket's first, so no task holds a bucket.
     """
@@ -110,19 +110,15 @@ def id_parts(df: DataFrame, bucket: Column, order: list[str], labels: list[str],
     tagged = df.select(*dict.fromkeys([*order, "pmcid"]), bucket.alias("bucket")).withColumn("place", place)
     rows = numbered(tagged, ["place", "bucket", *order], "_no")
     first = rows.groupBy("bucket").agg(F.min("_no").alias("_first")).withColumnRenamed("bucket", "_b")
-    parts = rows.join(F.broadcast(first), F.col("bucket").eqNullSafe(F.col("_b"))).withColumn("part", F.floor((F.col("_no") - F.col("_first")) / part_ids + 1).cast("long"))
-    ids = F.transform(F.array_sort(F.collect_list(F.struct("_no", "pmcid"))), lambda x: x["pmcid"])
-    return parts.groupBy("place", "bucket", "part").agg(F.count(F.lit(1)).alias("n"), F.array_join(ids, ", ").alias("ids"))
-
+    met = rows.join(F.broadcast(first), F.col("bucket").eqNullSafe(F.col("_b")))
+    return met.select("place", "bucket", (F.col("_no") - F.col("_first") + 1).cast("long").alias("pos"), "pmcid")
 
-def ids_by_bucket(df: DataFrame, bucket: Column, order: list[str], labels: list[str], part_ids: int = 10_000) -> DataFrame:
-    """bucket, n and all its ids in order, joined; buckets in declared order, empty ones left out.
 
-    A bucket is one line made of its parts; where that would be too long to hold, take id_parts.
-    """
-    joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("part", "ids"))), lambda x: x["ids"]), ", ")
-    parts = id_parts(df, bucket, order, labels, part_ids)
-    return parts.groupBy("place", "bucket").agg(F.sum("n").alias("n"), joined.alias("ids")).select("bucket", "n", "ids", "place").orderBy("place")
+def id_parts(df: DataFrame, bucket: Column, order: list[str], labels: list[str], part_ids: int = 10_000) -> DataFrame:
+    """(place, bucket, part, n, ids): the ids of bucket_ids joined, in numbered lines of at most part_ids."""
+    rows = bucket_ids(df, bucket, order, labels).withColumn("part", F.floor((F.col("pos") - 1) / part_ids + 1).cast("long"))
+    ids = F.transform(F.array_sort(F.collect_list(F.struct("pos", "pmcid"))), lambda x: x["pmcid"])
+    return rows.groupBy("place", "bucket", "part").agg(F.count(F.lit(1)).alias("n"), F.array_join(ids, ", ").alias("ids"))
 
 
 def markdown_table(head: list[str], rows: list[tuple]) -> str:

@@ -237,20 +237,41 @@ class SnapshotStore:
 
     def export(self, *paths: str) -> int:
         """Write the batch file to every path, made and validated once; ValueError for an invalid record. The number of records."""
-        batch = durable(envelope(ordered(self._valid(self.read()))))
+        records = durable(self._valid(self.read()))
+        lines = durable(envelope(records))
         for path in paths:
-            batch.coalesce(1).write.mode("overwrite").json(path)
-        return batch.first()["n"]
+            write_envelope(lines, path)
+        return records.count()
 
     def stats(self) -> dict[str, int]:
         row = self.read().agg(F.count(F.lit(1)).alias("n"), F.count_if("ehr_used").alias("ehr"), F.count_if(~F.col("ehr_used")).alias("no_ehr")).first()
         return row.asDict()
 
 
+def batch_rows(df: DataFrame) -> DataFrame:
+    """(no, n, model, record columns): the records of a batch in canonical order, each with the batch's size and model."""
+    from lectern.operators.report import numbered
+
+    rows = numbered(df, ["year", "pmcid"])
+    n = rows.agg(F.count(F.lit(1))).scalar()
+    return rows.select("no", n.alias("n"), most_common(df, "model", ["year", "pmcid"]).select(F.col("model").alias("_m")).scalar().alias("batch_model"), *df.columns)
+
+
 def envelope(df: DataFrame) -> DataFrame:
-    """One row {n, model, summaries[]} in canonical order: a file for small catalogues, gathered in one task by nature."""
-    model = most_common(df, "model", ["year", "pmcid"])
-    body = df.agg(F.count(F.lit(1)).cast("int").alias("n"), F.array_sort(F.collect_list(F.struct("year", "pmcid", F.struct(*df.columns).alias("r")))).alias("s"))
-    joined = body.withColumn("_one", F.lit(1)).join(model.withColumn("_one", F.lit(1)), "_one")
-    return joined.select("n", "model", F.transform("s", lambda x: x["r"]).alias("summaries"))
+    """(place, line): the batch file {n, model, summaries[]} with one record a line, in order of place.
 
+    Lines are numbered over ranges, so no task holds the catalogue; written in order they make one JSON document.
+    """
+    rows = batch_rows(df)
+    record = F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})
+    body = rows.select(F.col("no").cast("long").alias("place"), F.concat(record, F.when(F.col("no") < F.col("n"), ",").otherwise("")).alias("line"))
+    head = df.agg(F.count(F.lit(1)).alias("n")).select(F.col("n"), most_common(df, "model", ["year", "pmcid"]).select(F.col("model").alias("_m")).scalar().alias("m"))
+    said = F.to_json(F.struct("n", F.col("m").alias("model")))
+    first = head.select(F.lit(0).cast("long").alias("place"), F.concat(F.left(said, F.length(said) - 1), F.lit(',"summaries":[')).alias("line"))
+    last = head.select((F.col("n") + 1).alias("place"), F.lit("]}").alias("line"))
+    return first.unionByName(body).unionByName(last)
+
+
+def write_envelope(lines: DataFrame, path: str) -> None:
+    """One file of the lines in order: ranges are sorted apart and written one after the other, row by row."""
+    lines.repartitionByRange("place").sortWithinPartitions("place").select("line").coalesce(1).write.mode("overwrite").text(path)

@@ -333,10 +333,10 @@ def insert_new(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.insert(base, store.delete(batch, base, "pmcid"), "pmcid").select(*as_text(CHECKLIST_COLUMNS))
 
 
-@query(f"with {LATEST}, m as (select model from (select model, count(*) as n, min({{'y': year, 'p': pmcid}}) as f from latest where {strip_sql('model')} <> '' group by 1) order by n desc, f limit 1) select cast(count(*) as int) as n, (select model from m) as model, string_agg(pmcid, ' ' order by year, pmcid) as ids from latest")
+@query(f"with {LATEST}, m as (select model from (select model, count(*) as n, min({{'y': year, 'p': pmcid}}) as f from latest where {strip_sql('model')} <> '' group by 1) order by n desc, f limit 1) select row_number() over (order by year, pmcid) as no, count(*) over () as n, coalesce((select model from m), '') as batch_model, {as_text_sql(CHECKLIST_COLUMNS)} from latest")
 def batch_export(spark: SparkSession, sf_dir: str) -> DataFrame:
-    made = store.envelope(latest(spark, sf_dir).select(*CHECKLIST_COLUMNS))
-    return made.select("n", "model", F.array_join(F.col("summaries.pmcid"), " ").alias("ids"))
+    """The records of the batch file in their order, with its size and model."""
+    return store.batch_rows(latest(spark, sf_dir).select(*CHECKLIST_COLUMNS)).select("no", "n", "batch_model", *as_text(CHECKLIST_COLUMNS))
 
 
 # logs and metadata
@@ -406,12 +406,13 @@ def bucket_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     f"""with {TIDY_LOG}, one as (select pmcid, max({{'y': year, 't': title}}) as r from log group by 1), b as (select pmcid, r.y as year, r.t as title from one)
-select {bucket_sql(rules.EXPOSURE_BUCKETS)} as bucket, count(*) as n, string_agg(pmcid, ', ' order by year, pmcid) as ids from b group by 1"""
+select bucket, row_number() over (partition by bucket order by year, pmcid) as pos, pmcid from (select *, {bucket_sql(rules.EXPOSURE_BUCKETS)} as bucket from b)"""
 )
 def bucket_id_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every id of each bucket with its place there."""
     one = _log(spark, sf_dir).groupBy("pmcid").agg(F.max(F.struct("year", "title")).alias("r")).select("pmcid", "r.*")
     labels = [*rules.EXPOSURE_BUCKETS, rules.OTHER]
-    return report.ids_by_bucket(one, rules.first_bucket(F.col("title"), rules.EXPOSURE_BUCKETS), ["year", "pmcid"], labels).drop("place")
+    return report.bucket_ids(one, rules.first_bucket(F.col("title"), rules.EXPOSURE_BUCKETS), ["year", "pmcid"], labels).drop("place")
 
 
 @query(
@@ -420,7 +421,7 @@ p as (select *, (row_number() over (partition by bucket order by year, pmcid) -
 select bucket, part, count(*) as n, string_agg(pmcid, ', ' order by year, pmcid) as ids from p group by 1, 2"""
 )
 def bucket_id_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The lines of bucket_id_lists in numbered parts, for logs whose buckets are too large for one line."""
+    """The ids of bucket_id_lists in lines of at most 10,000."""
     one = _log(spark, sf_dir).groupBy("pmcid").agg(F.max(F.struct("year", "title")).alias("r")).select("pmcid", "r.*")
     labels = [*rules.EXPOSURE_BUCKETS, rules.OTHER]
     return report.id_parts(one, rules.first_bucket(F.col("title"), rules.EXPOSURE_BUCKETS), ["year", "pmcid"], labels).drop("place")

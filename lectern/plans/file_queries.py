@@ -5,8 +5,12 @@ Files go to a folder of their own under the shared checkpoint folder, which the
 
 from __future__ import annotations
 
+import io
+import tarfile
 import uuid
+from collections.abc import Iterator
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lectern.functions import coerce, text as tx
@@ -32,27 +36,49 @@ def record_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.read_record_lines(spark, folder).select(*as_text(CHECKLIST_COLUMNS))
 
 
-@query(f"with {LATEST} select {as_text_sql(CHECKLIST_COLUMNS)} from latest where ehr_used")
+@query(f"with {LATEST} select {as_text_sql(CHECKLIST_COLUMNS)} from latest")
 def batch_file(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The batch file of the papers that use health records, read again: one file by nature."""
+    """The batch file, one record a line, read again."""
     folder = scratch(spark)
-    files.write_batch(latest(spark, sf_dir).filter("ehr_used").select(*CHECKLIST_COLUMNS), folder)
-    return files.read_batch(spark, folder).select(*as_text(CHECKLIST_COLUMNS))
+    files.write_batch(latest(spark, sf_dir).select(*CHECKLIST_COLUMNS), folder)
+    return files.read_batch_lines(spark, folder).select(*as_text(CHECKLIST_COLUMNS))
 
 
 @query(f"select {id_sql()} as pmcid, title, reason, 'excluded' as list from log_excluded union all select 'PMC' || uid, null, null, 'downloaded' from (select distinct uid from paper_metadata where uid is not null)")
 def download_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A download log written as one JSON document and read list by list."""
-    excluded = read_table(spark, sf_dir, "log_excluded").select(F.struct(coerce.pmcid(F.col("pmcid")).alias("pmcid"), "title", "reason").alias("e")).agg(F.collect_list("e").alias("excluded"))
-    done = read_table(spark, sf_dir, "paper_metadata").agg(F.collect_set("uid").alias("downloaded"))
-    one = excluded.withColumn("_k", F.lit(1)).join(done.withColumn("_k", F.lit(1)), "_k").drop("_k")
+    """A download log written list by list and read again."""
+    excluded = read_table(spark, sf_dir, "log_excluded").select(coerce.pmcid(F.col("pmcid")).alias("pmcid"), "title", "reason")
+    done = read_table(spark, sf_dir, "paper_metadata").filter("uid is not null").select("uid").distinct()
     folder = scratch(spark)
-    one.select(F.to_json(F.struct("*")).alias("value")).coalesce(1).write.text(folder)
-    log = files.read_log(spark, folder)
+    files.write_log({"excluded": excluded, "downloaded": done}, folder)
+    log = files.read_log_lists(spark, folder, ["excluded", "downloaded"])
     listed = log["excluded"].select("pmcid", "title", "reason", F.lit("excluded").alias("list"))
     return listed.unionByName(log["downloaded"].select(F.concat(F.lit("PMC"), "uid").alias("pmcid"), F.lit("downloaded").alias("list")), allowMissingColumns=True)
 
 
+def _archives(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """An archive a paper: a supplement, a figure, two papers and a note, in that order."""
+    for frame in frames:
+        made = []
+        for path, size, more in zip(frame["path"], frame["size"], frame["more"], strict=True):
+            buffer = io.BytesIO()
+            with tarfile.open(fileobj=buffer, mode="w:gz") as archive:
+                for name, n in (("x/main_supp1.pdf", 9000), ("x/fig1.pdf", 8000), ("x/paper.pdf", size), ("x/other.pdf", size + more), ("x/notes.txt", 7000)):
+                    member = tarfile.TarInfo(name)
+                    member.size = n
+                    archive.addfile(member, io.BytesIO(bytes(n)))
+            made.append(buffer.getvalue())
+        yield pd.DataFrame({"path": frame["path"], "content": made})
+
+
+@query(f"with p as (select distinct {id_sql()} as path, cast(right({id_sql()}, 2) as int) as k from log_papers) select path, case when k % 3 > 1 then 'x/other.pdf' else 'x/paper.pdf' end as name, 100 + k + greatest(k % 3 - 1, 0) as size from p")
+def archive_main_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An archive for every paper of the log, read again: its main paper, the larger of two, the first of equal ones."""
+    papers = read_table(spark, sf_dir, "log_papers").select(coerce.pmcid(F.col("pmcid")).alias("path")).distinct()
+    sized = papers.withColumn("k", F.right("path", F.lit(2)).cast("int")).select("path", (F.col("k") + 100).cast("long").alias("size"), F.greatest(F.col("k") % 3 - 1, F.lit(0)).cast("long").alias("more"))
+    return fulltext.main_member(fulltext.archive_members(sized.mapInPandas(_archives, "path string, content binary")))
+
+
 @query("select uid, max(title) as title, max(pubdate) as pubdate from paper_metadata where uid is not null group by uid")
 def metadata_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Metadata written as JSON lines, each id first with an older title, of which the last line counts."""

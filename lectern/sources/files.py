@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lectern.functions import text as tx
-from lectern.operators.store import envelope, last_of_key
+from lectern.operators.store import envelope, last_of_key, write_envelope
 from lectern.schema import batch_schema, checklist_schema
 from lectern.session import durable
 
@@ -46,6 +46,24 @@ def read_batch(spark: SparkSession, path: str) -> DataFrame:
     return both.select(F.inline(F.coalesce("b.summaries", "a")))
 
 
+def read_batch_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Records of a batch file that write_batch made, one a line, so that a file of any size is read by many tasks."""
+    lines = spark.read.text(path).filter(F.col("value").startswith("{") & ~F.col("value").endswith("["))
+    return lines.select(F.from_json(F.regexp_replace("value", ",$", ""), checklist_schema()).alias("r")).select("r.*")
+
+
+def write_log(lists: dict[str, DataFrame], folder: str) -> None:
+    """A download log as JSON lines, a folder a list; for logs too large for one document."""
+    for name, rows in lists.items():
+        rows.write.mode("overwrite").option("ignoreNullFields", "false").json(f"{folder}/{name}")
+
+
+def read_log_lists(spark: SparkSession, folder: str, lists: list[str]) -> dict[str, DataFrame]:
+    """The lists of write_log."""
+    columns = {name: (kind[7:-1] if kind.startswith("struct") else "uid:string" if name == "downloaded" else "pmcid:string").replace(":", " ") for name, kind in LOG_LISTS.items()}
+    return {name: spark.read.schema(columns[name]).json(f"{folder}/{name}") for name in lists}
+
+
 def read_log(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     """One frame a list of a download log; lists that are missing, and an empty file, give empty frames."""
     ddl = ", ".join(f"{name} array<{kind}>" for name, kind in LOG_LISTS.items())
@@ -76,9 +94,9 @@ def read_record_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 def write_batch(df: DataFrame, *paths: str) -> None:
     """The batch file of df at every path; it is made once."""
-    batch = durable(envelope(df))
+    lines = durable(envelope(df))
     for path in paths:
-        batch.coalesce(1).write.mode("overwrite").json(path)
+        write_envelope(lines, path)
 
 
 def split_write(df: DataFrame, test: Column, kept: Callable[[DataFrame], None], dropped: Callable[[DataFrame], None]) -> None:

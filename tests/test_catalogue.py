@@ -40,8 +40,8 @@ def test_buckets_list_all_their_ids(spark):
 
     df = spark.range(10_060).select(F.format_string("PMC%06d", "id").alias("pmcid"), F.lit("2020").alias("year"), F.when(F.col("id") < 10_050, "hot").otherwise("cold").alias("b"))
     wanted = {"hot": [f"PMC{i:06}" for i in range(10_050)], "cold": [f"PMC{i:06}" for i in range(10_050, 10_060)]}
-    lines = report.ids_by_bucket(df, F.col("b"), ["year", "pmcid"], ["hot", "cold"]).collect()
-    assert [r.bucket for r in lines] == ["hot", "cold"] and {r.bucket: r.ids.split(", ") for r in lines} == wanted and [r.n for r in lines] == [10_050, 10]
+    rows = report.bucket_ids(df, F.col("b"), ["year", "pmcid"], ["hot", "cold"]).orderBy("place", "pos").collect()
+    assert [(r.bucket, r.pos, r.pmcid) for r in rows] == [(b, i, x) for b in ("hot", "cold") for i, x in enumerate(wanted[b], 1)]
     parts = report.id_parts(df, F.col("b"), ["year", "pmcid"], ["hot", "cold"], 1000).orderBy("place", "part").collect()
     assert [(r.bucket, r.part, r.n) for r in parts] == [*[("hot", i, 1000) for i in range(1, 11)], ("hot", 11, 50), ("cold", 1, 10)]
     assert [x for r in parts for x in r.ids.split(", ")] == wanted["hot"] + wanted["cold"]

@@ -13,11 +13,12 @@ from lectern.sources import files  # noqa: E402
 
 def test_page(spark):
     df = records(spark, {"pmcid": "PMC2", "year": "2021", "title": "a </script> b"}, {"pmcid": "PMC1", "year": ""})
-    page = publish.site_page(df, "%%COUNT%%|%%FIRST%%|%%LAST%%|%%DATA%%").first().page
+    text = lambda rows, template: "".join(r.line for r in publish.site_page(rows, template).orderBy("place").collect())
+    page = text(df, "%%COUNT%%|%%FIRST%%|%%LAST%%|%%DATA%%")
     count, first, last, data = page.split("|", 3)
     assert (count, first, last) == ("2", "2021", "2021") and "</script>" not in data
     assert [r["pmcid"] for r in json.loads(data)] == ["PMC1", "PMC2"] and json.loads(data)[1]["title"] == "a </script> b"
-    assert publish.site_page(df.limit(0), "%%COUNT%%%%DATA%%").first().page == "0[]"
+    assert text(df.limit(0), "%%COUNT%%%%DATA%%.") == "0[]."
     assert publish.site_records(df.drop("summary")).first().summary is None
 
 

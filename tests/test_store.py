@@ -159,8 +159,14 @@ def test_summary_markdown(spark):
     assert "| asthma | 1 |" in text and "| high | 1 |" in text and "1 of 1 (100%)" in text
 
 
-def test_envelope(spark):
-    made = store.envelope(records(spark, {"pmcid": "PMC2", "model": "m"}, {"pmcid": "PMC1", "model": "m"})).first()
-    assert (made.n, made.model, [s.pmcid for s in made.summaries]) == (2, "m", ["PMC1", "PMC2"])
-    empty = store.envelope(records(spark).limit(0)).first()
-    assert (empty.n, empty.model, empty.summaries) == (0, "", [])
+def test_envelope(spark, tmp_path):
+    import json
+
+    text = lambda df: "\n".join(r.line for r in store.envelope(df).orderBy("place").collect())
+    made = json.loads(text(records(spark, {"pmcid": "PMC2", "model": "m", "title": 'a"b'}, {"pmcid": "PMC1", "model": "m"})))
+    assert (made["n"], made["model"], [x["pmcid"] for x in made["summaries"]], made["summaries"][1]["title"]) == (2, "m", ["PMC1", "PMC2"], 'a"b')
+    assert set(made["summaries"][0]) == set(CHECKLIST_COLUMNS)
+    assert json.loads(text(records(spark).limit(0))) == {"n": 0, "model": "", "summaries": []}
+    store.write_envelope(store.envelope(records(spark, *[{"pmcid": f"PMC{i:04}"} for i in range(500)])), str(tmp_path / "b"))
+    (part,) = (tmp_path / "b").glob("part-*")
+    assert [x["pmcid"] for x in json.loads(part.read_text())["summaries"]] == [f"PMC{i:04}" for i in range(500)]
