@@ -20,6 +20,8 @@ ACCESSIONS = [
     r"(?i)(https?://datadryad\.org/\S+)",
     r"(?i)\b(ArrayExpress\s*E-[A-Z]{4}-\d+)\b",
 ]
+#: What a text must hold in lower case for a pattern of ACCESSIONS to match: a plain search spares most texts the pattern.
+HINTS = ["dbgap", "phs", "gse", "prj", "prj", "zenodo.", "zenodo.org", "github.com", "figshare.com", "datadryad.org", "arrayexpress"]
 #: Headings of a data availability section. A fixed pattern.
 AVAILABILITY_HEADING = r"(?i)(?:data\s+(?:and\s+code\s+)?(?:availability|accessing)|code\s+availability)"
 #: Lead-ins of a sentence on deposited data. A fixed pattern.
@@ -86,13 +88,18 @@ WRAPPED = r"-\s*\n\s*"
 
 def unwrap(text: Column) -> Column:
     """Addresses that a line break split at a hyphen made whole."""
-    return F.regexp_replace(F.regexp_replace(text, WRAPPED_WORD, "$1-$2"), WRAPPED, "")
+    whole = F.regexp_replace(F.regexp_replace(text, WRAPPED_WORD, "$1-$2"), WRAPPED, "")
+    # most texts have no hyphen before a line break, which is far cheaper to see than to replace
+    return F.when(F.contains(text, F.lit("\n")) & text.rlike(WRAPPED), whole).otherwise(text)
 
 
 def accession_links(text: Column) -> Column:
     """Identifiers and addresses of deposited data, pattern by pattern, each once, case kept."""
     whole = unwrap(text)
-    return F.array_distinct(F.transform(F.concat(*[F.regexp_extract_all(whole, F.lit(p), F.lit(1)) for p in ACCESSIONS]), strip))
+    lower, none = F.lower(whole), F.array().cast("array<string>")
+    # a null text gives null, as the patterns would
+    found = [F.when(F.contains(lower, F.lit(hint)), F.regexp_extract_all(whole, F.lit(p), F.lit(1))).when(whole.isNotNull(), none) for p, hint in zip(ACCESSIONS, HINTS, strict=True)]
+    return F.array_distinct(F.transform(F.concat(*found), strip))
 
 
 def availability_window(text: Column, size: int = 6000, lead: int = 200) -> Column:
