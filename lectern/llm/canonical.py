@@ -27,6 +27,9 @@ FILLER_WORDS = 20_000
 #: Terms a word must stand beside to be filler, none of them with more than half of its uses.
 FILLER_TERMS = 3
 
+#: Part of a name's weight that a value must hold which says nothing else and fits one term only.
+LEAST_PART = 0.4
+
 #: Function words of English: they say nothing about what a value means.
 FUNCTION_WORDS = frozenset("a an the of in on at by to and or with for from among as is are while after before during per vs via than".split())
 #: Those that open a phrase of place, people or time behind a mention.
@@ -188,6 +191,7 @@ class FieldIndex:
         likes = [self.like(t) for t in tokens]
         candidates = {name for like in likes for word in like if word not in FUNCTION_WORDS for name in self.having[word]}
         best: tuple[float, float, str] = (0.0, 0.0, "")
+        parts: dict[int, float] = {}
         for name in candidates:
             have = total = 0.0
             used: set[int] = set()
@@ -198,15 +202,20 @@ class FieldIndex:
                 if fit:
                     used.add(-fit[1])
                     have += weight * fit[0]
+            rest = self.content(tokens, used)
+            if total and not rest and have / total >= LEAST_PART and any(len(tokens[i]) > 3 and tokens[i] not in FUNCTION_WORDS for i in used):
+                parts[self.names[name]] = max(parts.get(self.names[name], 0.0), have / total)
             if total == 0 or have / total < self.least_name:
                 continue
             named = sum(len(tokens[i]) for i in used if tokens[i] not in FUNCTION_WORDS)
-            share = named / max(1, named + sum(map(len, self.content(tokens, used))))
+            share = named / max(1, named + sum(map(len, rest)))
             if share >= self.least_value:
                 best = max(best, (have / total * share, have, name))
         if best[0] > 0.8:
             return self.names[best[2]], best[0]
-        return max((self.names[best[2]], best[0]) if best[2] else (0, 0.0), self.by_spelling(tokens, likes), key=lambda x: x[1])
+        found = max((self.names[best[2]], best[0]) if best[2] else (0, 0.0), self.by_spelling(tokens, likes), key=lambda x: x[1])
+        # part of a name and nothing else, where no other term has a name with that part
+        return next(iter(parts.items())) if not found[0] and len(parts) == 1 else found
 
     def by_spelling(self, tokens: list[str], likes: list[dict[str, float]]) -> tuple[int, float]:
         """The whole value against names that share a token with it: at most one edit in five characters."""

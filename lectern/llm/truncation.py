@@ -91,7 +91,7 @@ def texts_of(df: DataFrame, fields: list[str], id_col: str, source: str, record:
     """
     own = F.col(f"`{id_col}`").cast("string")
     same = F.xxhash64(own if record is None else F.coalesce(record.cast("string"), own))
-    return df.select(F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{source}`").cast("string"), F.lit("")).alias("source"), same.alias("record"), *[F.col(f"`{f}`").alias(f"_text{i}") for i, f in enumerate(fields)])
+    return df.select(F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{source}`").cast("string"), F.lit("")).alias("source"), same.alias("record"), *[F.col(f"`{f}`").cast("string").alias(f"_text{i}") for i, f in enumerate(fields)])
 
 
 def open_texts(rows: DataFrame, fields: list[str]) -> DataFrame:

@@ -38,6 +38,11 @@ def test_mentions_inside_longer_values(spark, terms):
     assert mapped(spark, terms, "pollen-coloured wallpaper", "lead author affiliation", "air travel frequency") == [(0, "none")] * 3
 
 
+def test_part_of_a_name_that_one_term_has(spark):
+    names = spark.createDataFrame([(1, "f", "famine and undernutrition", None), (2, "f", "traffic noise", None), (3, "f", "railway noise", None)], "term_id long, field string, term string, alt_terms array<string>")
+    assert [t for t, _ in mapped(spark, names, "undernutrition", "famine", "noise", "traffic", "undernutrition novel", "on and of")] == [1, 0, 0, 2, 0, 0]
+
+
 def test_words_beside_many_terms_are_filler(spark, terms):
     said = ["pollen, third trimester", "lead exposure, third trimester", "traffic noise: third trimester", "air pollution - third trimester"]
     assert mapped(spark, terms, said[0]) == [(0, "none")]
