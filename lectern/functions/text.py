@@ -104,7 +104,9 @@ def accession_links(text: Column) -> Column:
 
 def availability_window(text: Column, size: int = 6000, lead: int = 200) -> Column:
     """The part of a text around its data availability heading, else its tail."""
-    at = F.regexp_instr(text, F.lit(AVAILABILITY_HEADING))
+    # a heading holds one of two words; most texts hold neither
+    lower = F.lower(text)
+    at = F.when(F.contains(lower, F.lit("availability")) | F.contains(lower, F.lit("accessing")), F.regexp_instr(text, F.lit(AVAILABILITY_HEADING))).otherwise(0)
     start = F.greatest(at - lead, F.lit(1))
     return F.when(at > 0, F.substring(text, start, F.lit(size))).otherwise(F.right(text, F.lit(size)))
 

@@ -48,9 +48,9 @@ def merge_chunks(parts: DataFrame, key: str, order: str, *, flag: str, evidence:
     return out.select(key, flag, evidence, *texts, *lists, confidence)
 
 
-def with_links_found(links: Column, availability: Column, statement: Column, window: Column) -> Column:
-    """A scan result after links plainly in the text are added: any of them makes the data public."""
-    extra = tx.accession_links(window)
+def with_links_found(links: Column, availability: Column, statement: Column, window: Column, found: Column | None = None) -> Column:
+    """A scan result after links plainly in the text are added: any of them makes the data public. found: those links, if known."""
+    extra = tx.accession_links(window) if found is None else found
     some = F.size(extra) > 0
     return F.struct(
         F.when(some, "public-repository").otherwise(availability).alias("data_availability"),

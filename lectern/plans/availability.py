@@ -68,8 +68,10 @@ def scan(papers: DataFrame, client: Client | None = None, *, system: str = SYSTE
     prose = jsonfix.availability_reply(F.col("reply"))
     by_prose = F.when(F.col("found").isNull() & prose.isNotNull(), F.struct(prose["data_availability"].alias("a"), prose["data_accession_links"].alias("l"), prose["data_availability_statement"].alias("s")))
     said = told.withColumn("r", fields).select("pmcid", "window", F.coalesce(by_json, by_prose).alias("m"))
-    made = said.select("pmcid", "m", "window", merge.with_links_found(F.col("m.l"), F.col("m.a"), F.col("m.s"), F.col("window")).alias("w"))
-    plain = F.size(tx.accession_links(F.col("window"))) > 0
+    # the links of a window are looked for once, in a projection of their own
+    linked = said.withColumn("_links", tx.accession_links(F.col("window")))
+    made = linked.select("pmcid", "m", "_links", merge.with_links_found(F.col("m.l"), F.col("m.a"), F.col("m.s"), F.col("window"), F.col("_links")).alias("w"))
+    plain = F.size("_links") > 0
     by = F.when(F.col("m").isNotNull() & plain, "both").when(F.col("m").isNotNull(), "model").when(plain, "patterns").otherwise("none")
     return made.select("pmcid", *[F.col(f"w.{c}").alias(c) for c in FOUND], by.alias("told_by"))
 
