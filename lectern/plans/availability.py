@@ -12,7 +12,8 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from lectern.functions import coerce, jsonfix, text as tx
+from lectern.functions import coerce, text as tx
+from lectern.functions.jsonfix import availability_reply, salvage
 from lectern.operators import merge
 from lectern.plans.extraction import Client
 from lectern.schema import AVAILABILITY
@@ -43,7 +44,7 @@ def replies(papers: DataFrame, client: Client, system: str = SYSTEM) -> DataFram
                         reply = client([{"role": "system", "content": system}, {"role": "user", "content": user}])
                     except Exception:  # noqa: BLE001
                         reply = None
-                held = jsonfix.salvage(reply)
+                held = salvage(reply)
                 said.append((row.pmcid, row.window, reply, None if held is None else json.dumps(held, ensure_ascii=False)))
             yield pd.DataFrame(said, columns=["pmcid", "window", "reply", "found"])
 
@@ -65,7 +66,7 @@ def scan(papers: DataFrame, client: Client | None = None, *, system: str = SYSTE
     links = F.col("r.data_accession_links")
     listed = F.when(links.startswith("["), coerce.list_of(F.from_json(links, "array<string>"))).otherwise(coerce.list_of_text(links))
     by_json = F.when(F.col("found").isNotNull(), F.struct(coerce.availability(F.col("r.data_availability")).alias("a"), listed.alias("l"), F.coalesce("r.data_availability_statement", F.lit("")).alias("s")))
-    prose = jsonfix.availability_reply(F.col("reply"))
+    prose = availability_reply(F.col("reply"))
     by_prose = F.when(F.col("found").isNull() & prose.isNotNull(), F.struct(prose["data_availability"].alias("a"), prose["data_accession_links"].alias("l"), prose["data_availability_statement"].alias("s")))
     said = told.withColumn("r", fields).select("pmcid", "window", F.coalesce(by_json, by_prose).alias("m"))
     # the links of a window are looked for once, in a projection of their own
